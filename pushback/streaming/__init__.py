@@ -1,0 +1,3 @@
+"""Streaming: the reference reads whole files only (no watermark, window or
+state code), so there is no streaming operator to rebuild. Batch jobs in
+``pushback.plans`` cover every stage."""
