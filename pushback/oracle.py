@@ -118,10 +118,10 @@ AIRPORTS = f"""
     CASE WHEN n_nationkey <> 23 THEN
       ['America/New_York', 'America/Chicago', 'America/Denver',
        'America/Los_Angeles', 'Pacific/Honolulu'][n_regionkey % 5 + 1] END AS TZ
-  FROM nation
+  FROM nation WHERE n_nationkey <> 24
 """
 
-AIRLINES = "SELECT DISTINCT c_mktsegment AS IATA_CODE FROM customer WHERE c_acctbal > 0"
+AIRLINES = "SELECT DISTINCT c_mktsegment AS IATA_CODE FROM customer WHERE c_mktsegment < 'M'"
 
 
 def with_views(body: str, **views: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pushback import profile as P
-from pushback.operators import cleaning, enrich, explore
+from pushback.operators import cleaning, enrich, explore, quality
 from pushback.sources import fixture
 
 # the fixture's weather covers one month, so it is matched on (day, hour)
@@ -48,6 +48,27 @@ def class_share_by_hour(spark: SparkSession, sf: str) -> DataFrame:
     return explore.class_share_by(cleaned(spark, sf), "departure_hour")
 
 
+def _on_enriched(op):
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return op(enriched(spark, sf))
+    run.__name__ = op.__name__
+    return run
+
+
+def unknown_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.unknown_codes(enriched(spark, sf), fixture.airlines(spark, sf),
+                                 fixture.airports(spark, sf))
+
+
+def validation_report(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.validation_report(enriched(spark, sf), fixture.airlines(spark, sf),
+                                     fixture.airports(spark, sf))
+
+
+def post_clean_validation(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.post_clean_validation(cleaned(spark, sf))
+
+
 QUERIES = {
     "class_share_by_hour": class_share_by_hour,
     "flights_view": flights_view,
@@ -56,4 +77,20 @@ QUERIES = {
     "join_coverage": join_coverage,
     "clean_flights": cleaned,
     "cleaning_summary": cleaning_summary,
+    "schema_report": _on_enriched(quality.schema_report),
+    "completeness": _on_enriched(quality.completeness),
+    "duplicates": _on_enriched(quality.duplicates),
+    "range_violations": _on_enriched(quality.range_violations),
+    "numeric_airport_codes": _on_enriched(quality.numeric_airport_codes),
+    "consistency": _on_enriched(quality.consistency),
+    "target_readiness": _on_enriched(quality.target_readiness),
+    "iqr_outliers": _on_enriched(quality.iqr_outliers),
+    "format_issues": _on_enriched(quality.format_issues),
+    "invalid_dates": _on_enriched(quality.invalid_dates),
+    "cardinality": _on_enriched(quality.cardinality),
+    "top_values": _on_enriched(quality.top_k_values),
+    "describe": _on_enriched(quality.describe),
+    "unknown_codes": unknown_codes,
+    "validation_report": validation_report,
+    "post_clean_validation": post_clean_validation,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pushback import profile as P
 from pushback import oracle as O
+from pushback.plans import quality_sql as Q
 
 _CLEAN_COLS = (["row_id"] + [c for c in P.EXPECTED_COLUMNS
                              if c not in P.LEAKAGE_COLUMNS + ["DEPARTURE_DELAY", "CANCELLED"]]
@@ -48,3 +49,25 @@ SQL = {
         FROM (SELECT count(*) AS n, {_missing(_ENRICHED_COLS)} AS m FROM enriched) b,
              (SELECT count(*) AS n, {_missing(_CLEAN_COLS)} AS m FROM cleaned) a"""),
 }
+
+
+_E = "enriched"
+_EC = _ENRICHED_COLS
+_DIMS = {"airlines": O.AIRLINES}
+SQL.update({
+    "completeness": O.over_enriched(Q.completeness(_E, _EC)),
+    "duplicates": O.over_enriched(Q.duplicates(_E, _EC)),
+    "range_violations": O.over_enriched(Q.ranges(_E, _EC)),
+    "numeric_airport_codes": O.over_enriched(Q.numeric_codes(_E)),
+    "consistency": O.over_enriched(Q.consistency(_E)),
+    "target_readiness": O.over_enriched(Q.target(_E)),
+    "iqr_outliers": O.over_enriched(Q.outliers(_E, _EC)),
+    "format_issues": O.over_enriched(Q.formats(_E)),
+    "invalid_dates": O.over_enriched(Q.temporal(_E)),
+    "cardinality": O.over_enriched(Q.cardinality(_E, _EC)),
+    "top_values": O.over_enriched(Q.top_values(_E, _EC)),
+    "describe": O.over_enriched(Q.statistics(_E, _EC)),
+    "unknown_codes": O.over_enriched(Q.unknown_codes(_E), **_DIMS),
+    "validation_report": O.over_enriched(Q.validation_report(_E, _EC), **_DIMS),
+    "post_clean_validation": over_cleaned(Q.post_clean("cleaned", _CLEAN_COLS)),
+})

@@ -23,6 +23,7 @@ REGION_TIME_ZONES = ["America/New_York", "America/Chicago", "America/Denver",
 # nation whose airport has no coordinates, and station whose weather is not loaded
 NATION_WITHOUT_COORDS = 23
 STATION_NOT_LOADED = 21
+UNLISTED_NATION = 24        # its airport is missing from the airport dimension
 NUMERIC_DEST_EVERY = 50     # every 50th part number flies to a numeric FAA id
 
 
@@ -166,9 +167,10 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airport dimension (IATA_CODE, LATITUDE, LONGITUDE, TZ) from ``nation``.
 
     One nation has no coordinates, so its zone is unknown and its weather is
-    never fetched.
+    never fetched; another is not listed at all.
     """
-    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+    n = (read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+         .filter(F.col("n_nationkey") != UNLISTED_NATION))
     tz = F.element_at(F.array(*[F.lit(z) for z in REGION_TIME_ZONES]),
                       (F.col("n_regionkey") % len(REGION_TIME_ZONES) + 1).cast("int"))
     no_coords = F.col("n_nationkey") == NATION_WITHOUT_COORDS
@@ -181,7 +183,7 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Airline dimension: the market segments of customers with a positive balance."""
+    """Airline dimension: market segments sorting before 'M' (one segment is unlisted)."""
     c = read_table(spark, sf_dir, "customer")
-    return (c.filter(F.col("c_acctbal") > 0)
+    return (c.filter(F.col("c_mktsegment") < "M")
              .select(F.col("c_mktsegment").alias("IATA_CODE")).distinct())
