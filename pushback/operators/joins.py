@@ -18,3 +18,52 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     """
     n = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+def attach_stats(df: DataFrame, stats: DataFrame, keys: list[str], null_safe: bool = False,
+                 max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Left-join a per-key statistics table back onto the rows.
+
+    The statistics are an aggregate (one row per key, built with map-side
+    combining), persisted and counted once. Under ``max_rows`` they are
+    broadcast, so the row table is never shuffled and a hot key costs
+    nothing extra; above it the join is a sort-merge join whose skewed
+    partitions AQE splits. ``null_safe`` matches NULL keys as one group.
+    """
+    stats = stats.persist()
+    small = stats.count() <= max_rows
+    if not null_safe:
+        return df.join(F.broadcast(stats) if small else stats, keys, "left")
+    renamed = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
+                           *[c for c in stats.columns if c not in keys])
+    renamed = F.broadcast(renamed) if small else renamed
+    cond = None
+    for k in keys:
+        term = df[k].eqNullSafe(renamed[f"__k_{k}"])
+        cond = term if cond is None else cond & term
+    return df.join(renamed, cond, "left").drop(*[f"__k_{k}" for k in keys])
+
+
+def keyed_stats(df: DataFrame, keys: list[str], aggs: list, max_rows: int = MAX_BROADCAST_ROWS
+                ) -> tuple[DataFrame, dict]:
+    """Per-value statistics for several single-column keys in one aggregate.
+
+    Rows are unpivoted to (key_name, key_value) pairs — NULL values dropped —
+    and grouped once; the result is persisted, and the per-key row counts
+    decide which slices may be broadcast. Returns (stats, {key: broadcastable}).
+    """
+    pairs = (df.select(*[F.col(k).cast("string").alias(k) for k in keys],
+                       *[c for c in df.columns if c not in keys])
+               .unpivot([c for c in df.columns if c not in keys], keys, "__key", "__value")
+               .filter(F.col("__value").isNotNull()))
+    stats = pairs.groupBy("__key", "__value").agg(*aggs).persist()
+    sizes = {r["__key"]: r["n"] for r in stats.groupBy("__key").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return stats, {k: sizes.get(k, 0) <= max_rows for k in keys}
+
+
+def attach_key_slice(df: DataFrame, stats: DataFrame, key: str, small: bool) -> DataFrame:
+    """Left-join the slice of ``keyed_stats`` output for one key (NULL key -> no match)."""
+    part = (stats.filter(F.col("__key") == key).drop("__key")
+                 .withColumnRenamed("__value", "__kv"))
+    part = F.broadcast(part) if small else part
+    return df.join(part, df[key].cast("string") == part["__kv"], "left").drop("__kv")

@@ -46,11 +46,12 @@ FLIGHTS = f"""
   SELECT
     md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
         CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
-        CAST(CAST(l_quantity AS BIGINT) AS VARCHAR),
-        CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR),
-        CAST(CAST(round(l_discount * 100) AS BIGINT) AS VARCHAR),
-        CAST(CAST(round(l_tax * 100) AS BIGINT) AS VARCHAR),
-        l_returnflag, l_linestatus, CAST(CAST(l_shipdate AS DATE) AS VARCHAR))) AS row_id,
+        CAST(CAST(floor(l_quantity) AS BIGINT) AS VARCHAR),
+        CAST(CAST(floor(l_extendedprice * 100 + 0.5) AS BIGINT) AS VARCHAR),
+        CAST(CAST(floor(l_discount * 100 + 0.5) AS BIGINT) AS VARCHAR),
+        CAST(CAST(floor(l_tax * 100 + 0.5) AS BIGINT) AS VARCHAR),
+        l_returnflag, l_linestatus,
+        CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS VARCHAR))) AS row_id,
     CAST(year(l_shipdate) AS INTEGER) AS "YEAR",
     CAST(month(l_shipdate) AS INTEGER) AS "MONTH",
     CAST(day(l_shipdate) AS INTEGER) AS "DAY",

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pushback import profile as P
 from pushback.operators import cleaning, enrich, explore, quality
+from pushback.session import cut_lineage
 from pushback.sources import fixture
 
 # the fixture's weather covers one month, so it is matched on (day, hour)
@@ -31,8 +32,24 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
                                 fixture.airports(spark, sf), time_keys=FIXTURE_TIME_KEYS)
 
 
+_MATERIALISED: dict = {}
+
+
+def _materialised(spark: SparkSession, sf: str, name: str, build):
+    """Stage output written once per session to the shared checkpoint folder.
+
+    Like the reference's files between stages, downstream queries read the
+    written table instead of recomputing its lineage.
+    """
+    key = (id(spark), sf, name)
+    if key not in _MATERIALISED:
+        _MATERIALISED[key] = build()
+    return _MATERIALISED[key]
+
+
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.clean(enriched(spark, sf))
+    return _materialised(spark, sf, "cleaned",
+                         lambda: cut_lineage(cleaning.clean(enriched(spark, sf).persist())))
 
 
 def join_coverage(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,3 +111,107 @@ QUERIES = {
     "validation_report": validation_report,
     "post_clean_validation": post_clean_validation,
 }
+
+
+# ---- features and sampling --------------------------------------------------------
+from pushback.operators import features as FE  # noqa: E402
+from pushback.operators import sampling as SA  # noqa: E402
+
+_TEMPORAL = ["is_weekend", "is_holiday", "scheduled_departure_hour_sin",
+             "scheduled_departure_hour_cos", "scheduled_arrival_hour_sin",
+             "scheduled_arrival_hour_cos", "month_sin", "month_cos", "departure_hour_bucket",
+             "departure_hour_bucket_code", "is_morning_peak_bank", "is_evening_peak_bank"]
+_CONGESTION = ["origin_hourly_departure_count", "origin_departure_bank_count",
+               "origin_congestion_ratio", "origin_departure_bank_ratio",
+               "destination_hourly_arrival_count", "destination_departure_bank_count",
+               "destination_congestion_ratio", "destination_departure_bank_ratio",
+               "origin_weather_intensity", "destination_weather_intensity",
+               "origin_congestion_weather_score", "destination_congestion_weather_score",
+               "route_congestion_weather_score", "origin_departure_bank_weather_score",
+               "destination_departure_bank_weather_score"]
+_KEYS = ["ROUTE"] + list(P.INTERACTION_HISTORICAL_KEYS)
+
+
+def _round_doubles(df: DataFrame, cols) -> DataFrame:
+    types = dict(df.dtypes)
+    return df.select(*[F.round(c, 9).alias(c) if types[c] == "double" else F.col(c) for c in cols])
+
+
+def temporal_features(spark: SparkSession, sf: str) -> DataFrame:
+    out = FE.add_temporal_features(cleaned(spark, sf))
+    return _round_doubles(out, ["row_id"] + _TEMPORAL)
+
+
+def congestion_features(spark: SparkSession, sf: str) -> DataFrame:
+    out = FE.add_weather_scores(FE.add_congestion_features(cleaned(spark, sf)))
+    return _round_doubles(out, ["row_id"] + _CONGESTION)
+
+
+def interaction_keys(spark: SparkSession, sf: str) -> DataFrame:
+    out = FE.add_interaction_keys(FE.add_temporal_features(cleaned(spark, sf)))
+    return out.select("row_id", *_KEYS)
+
+
+def stratified_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return SA.stratified_sample(fixture.flights(spark, sf), ["MONTH"], P.SAMPLE_FRACTION)
+
+
+def train_test_split(spark: SparkSession, sf: str) -> DataFrame:
+    return SA.split_flags(cleaned(spark, sf)).select("row_id", P.TARGET, "is_test")
+
+
+def _split(spark: SparkSession, sf: str):
+    return _materialised(spark, sf, "split", lambda: SA.split_dataset(cleaned(spark, sf)))
+
+
+def cv_folds(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = _split(spark, sf)
+    return SA.assign_folds(train).select("row_id", P.TARGET, "fold")
+
+
+def _encoded(spark: SparkSession, sf: str):
+    train, test = _split(spark, sf)
+    tr = FE.add_interaction_keys(FE.add_temporal_features(train))
+    te = FE.add_interaction_keys(FE.add_temporal_features(test))
+    return tr, te
+
+
+def frequency_encoding(spark: SparkSession, sf: str) -> DataFrame:
+    tr, te = _encoded(spark, sf)
+    tr, te = FE.add_frequency_encoding(tr, te)
+    cols = ["row_id"] + [f"{c}_freq" for c in P.FREQUENCY_COLUMNS]
+    return (_round_doubles(tr.withColumn("is_test", F.lit(False)), cols + ["is_test"])
+            .unionByName(_round_doubles(te.withColumn("is_test", F.lit(True)), cols + ["is_test"])))
+
+
+def smoothed_rates(spark: SparkSession, sf: str) -> DataFrame:
+    tr, te = _encoded(spark, sf)
+    keys = {**P.HISTORICAL_KEYS, **P.INTERACTION_HISTORICAL_KEYS}
+    tr, te = FE.add_smoothed_rates(tr, te, keys)
+    cols = ["row_id"] + [f"{p}_{r}" for p in keys.values() for r in P.HISTORICAL_RATES]
+    return (_round_doubles(tr.withColumn("is_test", F.lit(False)), cols + ["is_test"])
+            .unionByName(_round_doubles(te.withColumn("is_test", F.lit(True)), cols + ["is_test"])))
+
+
+_DISCRETE = ["MONTH", "DAY_OF_WEEK", "is_weekend", "is_holiday", "departure_hour_bucket_code",
+             "is_morning_peak_bank", "is_evening_peak_bank", "weather_code", "dest_weather_code",
+             "DIVERTED"]
+
+
+def mutual_information(spark: SparkSession, sf: str) -> DataFrame:
+    out = FE.add_temporal_features(cleaned(spark, sf))
+    mi = FE.mutual_information(out, _DISCRETE)
+    return mi.select("column", F.round("mutual_info", 9).alias("mutual_info"))
+
+
+QUERIES.update({
+    "temporal_features": temporal_features,
+    "congestion_features": congestion_features,
+    "interaction_keys": interaction_keys,
+    "stratified_sample": stratified_sample,
+    "train_test_split": train_test_split,
+    "cv_folds": cv_folds,
+    "frequency_encoding": frequency_encoding,
+    "smoothed_rates": smoothed_rates,
+    "mutual_information": mutual_information,
+})

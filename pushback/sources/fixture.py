@@ -35,15 +35,20 @@ def airport_code(nationkey: Column) -> Column:
 
 
 def _row_id() -> Column:
-    """md5 of all lineitem columns; unique where (orderkey, linenumber) is not."""
+    """md5 of all lineitem columns; unique where (orderkey, linenumber) is not.
+
+    Doubles enter as floor(x * 100 + 0.5) and the date as yyyymmdd, which both
+    engines compute exactly.
+    """
     c = F.col
+
+    def cents(name: str) -> Column:
+        return F.floor(c(name) * 100 + 0.5)
+
+    ymd = F.year("l_shipdate") * 10000 + F.month("l_shipdate") * 100 + F.dayofmonth("l_shipdate")
     parts = [c("l_orderkey"), c("l_partkey"), c("l_suppkey"), c("l_linenumber"),
-             c("l_quantity").cast("bigint"),
-             F.round(c("l_extendedprice") * 100).cast("bigint"),
-             F.round(c("l_discount") * 100).cast("bigint"),
-             F.round(c("l_tax") * 100).cast("bigint"),
-             c("l_returnflag"), c("l_linestatus"),
-             F.to_date(c("l_shipdate")).cast("string")]
+             F.floor(c("l_quantity")), cents("l_extendedprice"), cents("l_discount"),
+             cents("l_tax"), c("l_returnflag"), c("l_linestatus"), ymd]
     return F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
 
 
@@ -57,72 +62,81 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
              .join(c, F.col("o_custkey") == F.col("c_custkey"))
              .join(s, F.col("l_suppkey") == F.col("s_suppkey")))
 
-    cancelled = ((F.col("o_orderstatus") == "P") & (F.col("l_returnflag") == "R")
-                 & (F.col("l_linenumber") == 1))
-    diverted = ~cancelled & (F.col("l_partkey") % 97 == 0)
-    dep_min = (((F.col("l_orderkey") + F.col("l_linenumber")) % 24) * 60
-               + F.col("l_partkey") % 60)
-    sched_time = F.lit(40) + F.col("l_quantity") * 8
-    delay = ((F.col("l_partkey") * 31 + F.col("l_suppkey") * 17 + F.col("l_linenumber"))
-             % 140 - 70)
-    taxi_out = F.lit(5) + F.col("l_orderkey") % 25
-    taxi_in = F.lit(3) + F.col("l_partkey") % 12
-    air_time = sched_time - 10 + F.col("l_suppkey") % 7
-    elapsed = taxi_out + air_time + taxi_in + F.when(F.col("l_orderkey") % 101 == 0, 9).otherwise(0)
-    actual_dep_min = dep_min + delay
-    wheels_off_min = actual_dep_min + taxi_out
-    wheels_on_min = wheels_off_min + air_time.cast("bigint")
-    arrival_min = wheels_on_min + taxi_in
-    arrival_delay = delay + elapsed - sched_time
-    late = arrival_delay >= 15
+    c = F.col
+    # step 1: shared intermediates, computed once per row
+    cancelled = (c("o_orderstatus") == "P") & (c("l_returnflag") == "R") & (c("l_linenumber") == 1)
+    sched_time = F.lit(40) + c("l_quantity") * 8
+    air_time = sched_time - 10 + c("l_suppkey") % 7
+    taxi_out = F.lit(5) + c("l_orderkey") % 25
+    taxi_in = F.lit(3) + c("l_partkey") % 12
+    step1 = base.select(
+        _row_id().alias("row_id"), "l_shipdate", "l_orderkey", "l_partkey", "l_suppkey",
+        "l_linenumber", "l_extendedprice", "c_mktsegment", "c_nationkey", "s_nationkey",
+        cancelled.alias("_cx"),
+        (~cancelled & (c("l_partkey") % 97 == 0)).alias("_dv"),
+        (((c("l_orderkey") + c("l_linenumber")) % 24) * 60 + c("l_partkey") % 60).alias("_dep_min"),
+        sched_time.alias("_sched"),
+        ((c("l_partkey") * 31 + c("l_suppkey") * 17 + c("l_linenumber")) % 140 - 70).alias("_delay"),
+        taxi_out.alias("_taxi_out"), taxi_in.alias("_taxi_in"), air_time.alias("_air"),
+        (taxi_out + air_time + taxi_in
+         + F.when(c("l_orderkey") % 101 == 0, 9).otherwise(0)).alias("_elapsed"))
+    # step 2: times built on the intermediates
+    step2 = step1.select(
+        "*",
+        (c("_dep_min") + c("_delay")).alias("_act_dep"),
+        (c("_delay") + c("_elapsed") - c("_sched")).alias("_arr_delay"),
+        (c("_cx") | c("_dv")).alias("_gone"))
+    step3 = step2.select(
+        "*", (c("_act_dep") + c("_taxi_out")).alias("_off"))
+    step4 = step3.select(
+        "*", (c("_off") + c("_air").cast("bigint")).alias("_on"))
 
     def none_if(cond: Column, value: Column, dtype: str) -> Column:
         return F.when(cond, F.lit(None).cast(dtype)).otherwise(value.cast(dtype))
 
-    gone = cancelled | diverted
-    air_sys = (F.col("l_orderkey") % 3) * 5
-    weather_d = (F.col("l_partkey") % 4) * 2
-    late_ac = (F.col("l_suppkey") % 5) * 3
+    gone, cx = c("_gone"), c("_cx")
+    arr_delay = c("_arr_delay")
+    air_sys = (c("l_orderkey") % 3) * 5
+    weather_d = (c("l_partkey") % 4) * 2
+    late_ac = (c("l_suppkey") % 5) * 3
 
     def breakdown(value: Column) -> Column:
-        return F.when(~gone & late, value.cast("double"))
+        return F.when(~gone & (arr_delay >= 15), value.cast("double"))
 
-    return base.select(
-        _row_id().alias("row_id"),
+    return step4.select(
+        "row_id",
         F.year("l_shipdate").cast("int").alias("YEAR"),
         F.month("l_shipdate").cast("int").alias("MONTH"),
         F.dayofmonth("l_shipdate").cast("int").alias("DAY"),
         (F.weekday("l_shipdate") + 1).cast("int").alias("DAY_OF_WEEK"),
-        F.col("c_mktsegment").alias("AIRLINE"),
-        F.col("l_partkey").alias("FLIGHT_NUMBER"),
-        F.col("l_suppkey").cast("string").alias("TAIL_NUMBER"),
-        airport_code(F.col("s_nationkey")).alias("ORIGIN_AIRPORT"),
-        F.when(F.col("l_partkey") % NUMERIC_DEST_EVERY == 0,
-               (F.col("c_nationkey") + 10000).cast("string"))
-         .otherwise(airport_code(F.col("c_nationkey"))).alias("DESTINATION_AIRPORT"),
-        (((F.col("l_orderkey") + F.col("l_linenumber")) % 24) * 100
-         + F.col("l_partkey") % 60).cast("int").alias("SCHEDULED_DEPARTURE"),
-        F.when(cancelled & (F.col("l_partkey") % 7 != 0), F.lit(None).cast("int"))
-         .otherwise(hhmm_of_minutes(actual_dep_min)).alias("DEPARTURE_TIME"),
-        none_if(cancelled, delay, "double").alias("DEPARTURE_DELAY"),
-        none_if(cancelled, taxi_out, "double").alias("TAXI_OUT"),
-        none_if(cancelled, hhmm_of_minutes(wheels_off_min), "int").alias("WHEELS_OFF"),
-        sched_time.cast("double").alias("SCHEDULED_TIME"),
-        none_if(gone, elapsed, "double").alias("ELAPSED_TIME"),
-        none_if(gone, air_time, "double").alias("AIR_TIME"),
-        (F.col("l_extendedprice") / 100).alias("DISTANCE"),
-        none_if(gone, hhmm_of_minutes(wheels_on_min), "int").alias("WHEELS_ON"),
-        none_if(gone, taxi_in, "double").alias("TAXI_IN"),
-        hhmm_of_minutes(dep_min + sched_time.cast("bigint")).alias("SCHEDULED_ARRIVAL"),
-        none_if(gone, hhmm_of_minutes(arrival_min), "int").alias("ARRIVAL_TIME"),
-        none_if(gone, arrival_delay, "double").alias("ARRIVAL_DELAY"),
-        diverted.cast("int").alias("DIVERTED"),
-        cancelled.cast("int").alias("CANCELLED"),
-        F.when(cancelled, F.chr((F.col("l_orderkey") % 4 + 65).cast("int")))
-         .alias("CANCELLATION_REASON"),
+        c("c_mktsegment").alias("AIRLINE"),
+        c("l_partkey").alias("FLIGHT_NUMBER"),
+        c("l_suppkey").cast("string").alias("TAIL_NUMBER"),
+        airport_code(c("s_nationkey")).alias("ORIGIN_AIRPORT"),
+        F.when(c("l_partkey") % NUMERIC_DEST_EVERY == 0, (c("c_nationkey") + 10000).cast("string"))
+         .otherwise(airport_code(c("c_nationkey"))).alias("DESTINATION_AIRPORT"),
+        (((c("l_orderkey") + c("l_linenumber")) % 24) * 100
+         + c("l_partkey") % 60).cast("int").alias("SCHEDULED_DEPARTURE"),
+        F.when(cx & (c("l_partkey") % 7 != 0), F.lit(None).cast("int"))
+         .otherwise(hhmm_of_minutes(c("_act_dep"))).alias("DEPARTURE_TIME"),
+        none_if(cx, c("_delay"), "double").alias("DEPARTURE_DELAY"),
+        none_if(cx, c("_taxi_out"), "double").alias("TAXI_OUT"),
+        none_if(cx, hhmm_of_minutes(c("_off")), "int").alias("WHEELS_OFF"),
+        c("_sched").cast("double").alias("SCHEDULED_TIME"),
+        none_if(gone, c("_elapsed"), "double").alias("ELAPSED_TIME"),
+        none_if(gone, c("_air"), "double").alias("AIR_TIME"),
+        (c("l_extendedprice") / 100).alias("DISTANCE"),
+        none_if(gone, hhmm_of_minutes(c("_on")), "int").alias("WHEELS_ON"),
+        none_if(gone, c("_taxi_in"), "double").alias("TAXI_IN"),
+        hhmm_of_minutes(c("_dep_min") + c("_sched").cast("bigint")).alias("SCHEDULED_ARRIVAL"),
+        none_if(gone, hhmm_of_minutes(c("_on") + c("_taxi_in")), "int").alias("ARRIVAL_TIME"),
+        none_if(gone, arr_delay, "double").alias("ARRIVAL_DELAY"),
+        c("_dv").cast("int").alias("DIVERTED"),
+        cx.cast("int").alias("CANCELLED"),
+        F.when(cx, F.chr((c("l_orderkey") % 4 + 65).cast("int"))).alias("CANCELLATION_REASON"),
         breakdown(air_sys).alias("AIR_SYSTEM_DELAY"),
         breakdown(F.lit(0)).alias("SECURITY_DELAY"),
-        breakdown(arrival_delay - air_sys - weather_d - late_ac).alias("AIRLINE_DELAY"),
+        breakdown(arr_delay - air_sys - weather_d - late_ac).alias("AIRLINE_DELAY"),
         breakdown(late_ac).alias("LATE_AIRCRAFT_DELAY"),
         breakdown(weather_d).alias("WEATHER_DELAY"),
     )
