@@ -193,7 +193,7 @@ def smoothed_rates(spark: SparkSession, sf: str) -> DataFrame:
             .unionByName(_round_doubles(te.withColumn("is_test", F.lit(True)), cols + ["is_test"])))
 
 
-_DISCRETE = ["MONTH", "DAY_OF_WEEK", "is_weekend", "is_holiday", "departure_hour_bucket_code",
+_DISCRETE = ["DAY_OF_WEEK", "is_weekend", "is_holiday", "departure_hour_bucket_code",
              "is_morning_peak_bank", "is_evening_peak_bank", "weather_code", "dest_weather_code",
              "DIVERTED"]
 

@@ -71,3 +71,21 @@ SQL.update({
     "validation_report": O.over_enriched(Q.validation_report(_E, _EC), **_DIMS),
     "post_clean_validation": over_cleaned(Q.post_clean("cleaned", _CLEAN_COLS)),
 })
+
+
+from pushback.plans import features_sql as FS  # noqa: E402
+
+_SPLIT = {"split": f"SELECT * FROM ({FS.split_flags('cleaned')})"}
+_TRAIN = {**_SPLIT, "train": "SELECT * EXCLUDE (is_test) FROM split WHERE NOT is_test"}
+_FEAT = {"feat": f"SELECT c.*, t.* EXCLUDE (row_id) FROM cleaned c JOIN ({FS.temporal('cleaned')}) t USING (row_id)"}
+SQL.update({
+    "temporal_features": over_cleaned(FS.temporal("cleaned")),
+    "congestion_features": over_cleaned(FS.congestion("cleaned")),
+    "interaction_keys": over_cleaned(FS.interaction_keys("cleaned")),
+    "stratified_sample": O.over_flights(FS.stratified_sample("flights")),
+    "train_test_split": over_cleaned(f"SELECT row_id, {P.TARGET}, is_test FROM split", **_SPLIT),
+    "cv_folds": over_cleaned(FS.folds("train"), **_TRAIN),
+    "frequency_encoding": over_cleaned(FS.frequency("split"), **_SPLIT),
+    "smoothed_rates": over_cleaned(FS.smoothed_rates("split"), **_SPLIT),
+    "mutual_information": over_cleaned(FS.mutual_information("feat"), **_FEAT),
+})
