@@ -119,8 +119,8 @@ def joined_key(*parts: str | Column) -> Column:
 
 
 def safe_name(c: str | Column) -> Column:
-    """Characters outside [a-zA-Z0-9_-] become '_'."""
-    return F.regexp_replace(col(c), "[^a-zA-Z0-9_-]", "_")
+    """Each run of characters outside [a-zA-Z0-9_-] becomes '_'."""
+    return F.regexp_replace(col(c), "[^a-zA-Z0-9_-]+", "_")
 
 
 def round6(c: str | Column) -> Column:

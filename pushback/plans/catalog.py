@@ -215,3 +215,128 @@ QUERIES.update({
     "smoothed_rates": smoothed_rates,
     "mutual_information": mutual_information,
 })
+
+
+# ---- evaluation ----------------------------------------------------------------------
+from pushback.functions.exprs import delay_category  # noqa: E402
+from pushback.operators import metrics as ME  # noqa: E402
+from pushback.operators import ranking as RK  # noqa: E402
+
+
+def _test_with_arrival(spark: SparkSession, sf: str) -> DataFrame:
+    """Test rows with the arrival-delay columns of their flight (joined by row_id)."""
+    _, test = _split(spark, sf)
+    arrival = fixture.flights(spark, sf).select("row_id", "ARRIVAL_DELAY",
+                                                F.col("CANCELLED").alias("__cancelled"))
+    return test.join(arrival, "row_id")
+
+
+def arrival_rule_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Evaluation fixture: the label binning applied to the arrival delay (a
+    post-departure column, so a strong but non-trivial stand-in prediction)."""
+    t = _test_with_arrival(spark, sf)
+    pred = F.coalesce(delay_category("ARRIVAL_DELAY", "__cancelled"), F.lit("on_time"))
+    return t.select("row_id", F.col(P.TARGET).alias("y_true"), pred.alias("y_pred"))
+
+
+def majority_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    train, test = _split(spark, sf)
+    return ME.majority_predictions(train, test)
+
+
+def _candidates(spark: SparkSession, sf: str) -> dict:
+    return {"arrival_rule": arrival_rule_pairs(spark, sf),
+            "majority_baseline": majority_pairs(spark, sf)}
+
+
+def _r(df: DataFrame, digits: int = 9) -> DataFrame:
+    return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(ME.confusion_matrix(arrival_rule_pairs(spark, sf)))
+
+
+def core_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [ME.core_metrics(p).withColumn("model_mode", F.lit(m))
+             for m, p in _candidates(spark, sf).items()]
+    return _r(parts[0].unionByName(parts[1]))
+
+
+def cost_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    parts = [ME.cost_metrics(p).withColumn("model_mode", F.lit(m))
+             for m, p in _candidates(spark, sf).items()]
+    return _r(parts[0].unionByName(parts[1]))
+
+
+def per_class_report(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(ME.per_class_report(arrival_rule_pairs(spark, sf)))
+
+
+def weakest_class(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(ME.weakest_class(ME.per_class_report(arrival_rule_pairs(spark, sf))))
+
+
+def class_weights(spark: SparkSession, sf: str) -> DataFrame:
+    train, _ = _split(spark, sf)
+    w = ME.class_weights(train)
+    return _r(w.groupBy(P.TARGET).agg(F.first("weight").alias("weight"),
+                                      F.count(F.lit(1)).alias("n")))
+
+
+def majority_baseline(spark: SparkSession, sf: str) -> DataFrame:
+    return majority_pairs(spark, sf)
+
+
+def error_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(ME.error_summary(arrival_rule_pairs(spark, sf)))
+
+
+def confusion_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(ME.confusion_pairs(arrival_rule_pairs(spark, sf)))
+
+
+SLICES = ["departure_hour_bucket_code", "DAY_OF_WEEK", "is_weekend", "weather_code",
+          "dest_weather_code", "distance_band", "scheduled_time_band"]
+
+
+def worst_slices(spark: SparkSession, sf: str) -> DataFrame:
+    _, test = _split(spark, sf)
+    pairs = arrival_rule_pairs(spark, sf).select("row_id", "y_true", "y_pred")
+    feats = FE.add_temporal_features(test)
+    feats = ME.add_quartile_bands(feats, {"DISTANCE": "distance_band",
+                                          "SCHEDULED_TIME": "scheduled_time_band"})
+    return _r(ME.worst_slices(feats.join(pairs, "row_id"), SLICES))
+
+
+def model_selection(spark: SparkSession, sf: str) -> DataFrame:
+    runs = None
+    for m, p in _candidates(spark, sf).items():
+        core = ME.core_metrics(p)
+        cost = ME.cost_metrics(p)
+        row = core.unionByName(cost, allowMissingColumns=True).agg(
+            *[F.max(c).alias(c) for c in RK.CORE + RK.COST]).withColumn("model_mode", F.lit(m))
+        runs = row if runs is None else runs.unionByName(row)
+    runs = runs.persist()
+    out = None
+    for metric in P.SELECTION_METRICS:
+        r = RK.selection_report(runs, metric).select("primary_metric", "rank", "model_mode",
+                                                    "is_best", *RK.CORE, *RK.COST)
+        out = r if out is None else out.unionByName(r)
+    return _r(out)
+
+
+QUERIES.update({
+    "confusion_matrix": confusion_matrix,
+    "core_metrics": core_metrics,
+    "cost_metrics": cost_metrics,
+    "per_class_report": per_class_report,
+    "weakest_class": weakest_class,
+    "class_weights": class_weights,
+    "majority_baseline": majority_baseline,
+    "error_summary": error_summary,
+    "confusion_pairs": confusion_pairs,
+    "worst_slices": worst_slices,
+    "model_selection": model_selection,
+})

@@ -89,3 +89,33 @@ SQL.update({
     "smoothed_rates": over_cleaned(FS.smoothed_rates("split"), **_SPLIT),
     "mutual_information": over_cleaned(FS.mutual_information("feat"), **_FEAT),
 })
+
+from pushback.plans import eval_sql as EV  # noqa: E402
+
+_PAIRS = {**_SPLIT, "flights": O.FLIGHTS, "arr": EV.ARRIVAL_PAIRS, "maj": EV.MAJORITY_PAIRS}
+
+
+def over_pairs(body: str, **extra: str) -> str:
+    # the fixture flights view is already a CTE of the enriched chain
+    views = {k: v for k, v in _PAIRS.items() if k != "flights"}
+    return over_cleaned(body, **views, **extra)
+
+
+_TEST_FEAT = {"test_feat": f"""SELECT c.*, t.* EXCLUDE (row_id) FROM split c
+                              JOIN ({FS.temporal('split')}) t USING (row_id) WHERE c.is_test"""}
+SQL.update({
+    "confusion_matrix": over_pairs(EV.confusion("arr")),
+    "core_metrics": over_pairs(EV.core("arr", "arrival_rule") + "\nUNION ALL\n"
+                               + EV.core("maj", "majority_baseline")),
+    "cost_metrics": over_pairs(EV.cost("arr", "arrival_rule") + "\nUNION ALL\n"
+                               + EV.cost("maj", "majority_baseline")),
+    "per_class_report": over_pairs(EV.per_class("arr")),
+    "weakest_class": over_pairs(EV.weakest("arr")),
+    "class_weights": over_pairs(EV.class_weights("train"), train="SELECT * FROM split WHERE NOT is_test"),
+    "majority_baseline": over_pairs("SELECT * FROM maj"),
+    "error_summary": over_pairs(EV.error_summary("arr")),
+    "confusion_pairs": over_pairs(EV.confusion_pairs("arr")),
+    "worst_slices": over_pairs(EV.worst_slices("test_feat", "arr"), **_TEST_FEAT),
+    "model_selection": over_pairs(EV.model_selection("runs"),
+                                  runs=EV.runs({"arrival_rule": "arr", "majority_baseline": "maj"})),
+})
