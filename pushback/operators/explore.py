@@ -111,24 +111,19 @@ def box_stats_by_class(df: DataFrame, columns: Sequence[str], target: str = P.TA
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, pairwise-complete rows, one pass."""
+    """Pearson correlation of every pair on pairwise-complete rows, in one pass.
+
+    Long form (column_a, column_b, corr) with both orders and the diagonal.
+    """
     cols = list(columns)
-    exprs, pairs = [], []
-    for i, a in enumerate(cols):
-        for b in cols[i:]:
-            ok = F.col(a).isNotNull() & F.col(b).isNotNull()
-            exprs.append(F.corr(F.when(ok, F.col(a).cast("double")),
-                                F.when(ok, F.col(b).cast("double"))).alias(f"{i}:{cols.index(b)}"))
-            pairs.append((a, b))
-    row = df.agg(*exprs)
-    long = row.unpivot([], [f"`{e}`" if False else e for e in row.columns], "pair", "corr")
-    names = F.create_map(*[x for k, (a, b) in zip(row.columns, pairs)
-                           for x in (F.lit(k), F.array(F.lit(a), F.lit(b)))])
-    both = long.select(names[F.col("pair")].alias("ab"), "corr")
-    upper = both.select(F.col("ab")[0].alias("column_a"), F.col("ab")[1].alias("column_b"), "corr")
-    lower = (upper.filter(F.col("column_a") != F.col("column_b"))
-             .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"))
-    return upper.unionByName(lower)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"__c{k}")
+                   for k, (a, b) in enumerate(pairs)])
+    cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"),
+                      F.col(f"__c{k}").alias("corr")) for k, (a, b) in enumerate(pairs)]
+    cells += [F.struct(F.lit(b).alias("column_a"), F.lit(a).alias("column_b"),
+                       F.col(f"__c{k}").alias("corr")) for k, (a, b) in enumerate(pairs) if a != b]
+    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
 
 
 def quartile_bands(df: DataFrame, column: str, out: str,
@@ -154,24 +149,39 @@ def quartile_bands(df: DataFrame, column: str, out: str,
 def dataset_profile(df: DataFrame, sample_values: int = 3) -> DataFrame:
     """Per column type, non-null count, null percent, distinct count and samples.
 
-    Samples are the smallest distinct values as text (deterministic). Distinct
-    counts come from one shuffle of (column, value) pairs, pre-aggregated
-    map-side; the per-column sample list is a bounded top-k.
+    Samples are the smallest distinct values (numeric order for numbers,
+    doubles printed with 6 decimals). Distinct counts come from one shuffle of
+    (column, value) pairs, pre-aggregated map-side; the per-column sample list
+    is a bounded top-k.
     """
     cols = df.columns
     types = dict(df.dtypes)
+    numeric = {"int", "bigint", "smallint", "tinyint", "double", "float"}
     total = df.count()
     nn = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-    stacked = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).unpivot(
-        [], cols, "column", "value").filter(F.col("value").isNotNull())
-    distinct = stacked.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    def cell(c):
+        num = F.col(c).cast("double") if types[c] in numeric else F.lit(None).cast("double")
+        shown = (F.format_string("%.6f", F.col(c)) if types[c] in ("double", "float")
+                 else F.col(c).cast("string"))
+        return F.when(F.col(c).isNotNull(), F.struct(
+            F.lit(c).alias("column"), num.alias("num"), F.col(c).cast("string").alias("raw"),
+            shown.alias("shown")))
+
+    stacked = (df.select(F.explode(F.filter(F.array(*[cell(c) for c in cols]),
+                                            lambda x: x.isNotNull())).alias("v"))
+                 .select("v.column", "v.num", "v.raw", "v.shown"))
+    distinct = stacked.groupBy("column", "raw").agg(F.first("num").alias("num"),
+                                                   F.first("shown").alias("shown"))
     uniq = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
-    w = Window.partitionBy("column").orderBy("value")
+    w = Window.partitionBy("column").orderBy(F.asc_nulls_last("num"), "raw")
     samples = (distinct.withColumn("rk", F.row_number().over(w))
                .filter(F.col("rk") <= sample_values)
-               .groupBy("column").agg(F.array_sort(F.collect_list("value")).alias("samples")))
+               .groupBy("column").agg(F.array_join(F.transform(
+                   F.array_sort(F.collect_list(F.struct("rk", "shown"))), lambda x: x["shown"]),
+                   ", ").alias("samples")))
     meta = df.sparkSession.createDataFrame(
         [(c, types[c], int(nn[c]), round((total - nn[c]) * 100.0 / total, 2) if total else 0.0)
          for c in cols], "column string, dtype string, non_null bigint, null_pct double")
     return (meta.join(uniq, "column", "left").join(samples, "column", "left")
-            .na.fill(0, ["distinct"]))
+            .na.fill(0, ["distinct"]).withColumnRenamed("column", "column_name"))

@@ -340,3 +340,54 @@ QUERIES.update({
     "worst_slices": worst_slices,
     "model_selection": model_selection,
 })
+
+
+# ---- exploration -----------------------------------------------------------------------
+BOX_COLUMNS = ["DISTANCE", "SCHEDULED_TIME", "temperature_c", "wind_speed_kmh",
+               "dest_temperature_c", "precipitation_mm"]
+CORR_COLUMNS = ["DISTANCE", "SCHEDULED_TIME", "MONTH", "DAY_OF_WEEK", "departure_hour",
+                "scheduled_arrival_hour", "temperature_c", "precipitation_mm", "wind_speed_kmh",
+                "wind_gusts_kmh", "cloud_cover_pct", "pressure_msl_hpa", "dest_temperature_c",
+                "dest_wind_speed_kmh", "label_ordinal"]
+
+
+def class_distribution(spark: SparkSession, sf: str) -> DataFrame:
+    return explore.class_distribution(cleaned(spark, sf))
+
+
+def distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(explore.histogram(cleaned(spark, sf), "DISTANCE", 30, (0.01, 0.99)))
+
+
+def delay_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    f = explore.clip_column(fixture.flights(spark, sf), "DEPARTURE_DELAY", -60.0, 200.0)
+    return _r(explore.histogram(f, "DEPARTURE_DELAY", 80, None))
+
+
+def box_stats_by_class(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(explore.box_stats_by_class(cleaned(spark, sf), BOX_COLUMNS))
+
+
+def origin_class_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return _r(explore.normalized_crosstab(cleaned(spark, sf), "ORIGIN_AIRPORT", 12))
+
+
+def correlation_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    from pushback.functions.exprs import label_ordinal
+    df = cleaned(spark, sf).withColumn("label_ordinal", label_ordinal(P.TARGET))
+    return _r(explore.correlation_matrix(df, CORR_COLUMNS))
+
+
+def dataset_profile(spark: SparkSession, sf: str) -> DataFrame:
+    return explore.dataset_profile(cleaned(spark, sf))
+
+
+QUERIES.update({
+    "class_distribution": class_distribution,
+    "distance_histogram": distance_histogram,
+    "delay_histogram": delay_histogram,
+    "box_stats_by_class": box_stats_by_class,
+    "origin_class_shares": origin_class_shares,
+    "correlation_matrix": correlation_matrix,
+    "dataset_profile": dataset_profile,
+})

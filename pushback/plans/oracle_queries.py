@@ -119,3 +119,18 @@ SQL.update({
     "model_selection": over_pairs(EV.model_selection("runs"),
                                   runs=EV.runs({"arrival_rule": "arr", "majority_baseline": "maj"})),
 })
+
+from pushback.plans import catalog as _C  # noqa: E402
+from pushback.plans import explore_sql as EX  # noqa: E402
+
+_LABELLED = {"labelled": f"""SELECT *, CAST(CASE {P.TARGET} {" ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(P.CLASS_ORDER))} END AS INTEGER) AS label_ordinal FROM cleaned"""}
+_CLIPPED = {"clipped": "SELECT greatest(least(DEPARTURE_DELAY, 200.0), -60.0) AS DEPARTURE_DELAY FROM flights"}
+SQL.update({
+    "class_distribution": over_cleaned(EX.class_distribution("cleaned")),
+    "distance_histogram": over_cleaned(EX.histogram("cleaned", "DISTANCE", 30, (0.01, 0.99))),
+    "delay_histogram": O.over_flights(EX.histogram("clipped", "DEPARTURE_DELAY", 80, None), **_CLIPPED),
+    "box_stats_by_class": over_cleaned(EX.box_stats("cleaned", _C.BOX_COLUMNS)),
+    "origin_class_shares": over_cleaned(EX.crosstab("cleaned", "ORIGIN_AIRPORT", 12)),
+    "correlation_matrix": over_cleaned(EX.correlation("labelled", _C.CORR_COLUMNS), **_LABELLED),
+    "dataset_profile": over_cleaned(EX.profile("cleaned", _CLEAN_COLS)),
+})
