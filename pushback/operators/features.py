@@ -170,13 +170,18 @@ def add_frequency_encoding(train: DataFrame, test: DataFrame,
 
 def add_smoothed_rates(train: DataFrame, test: DataFrame,
                        keys: dict[str, str] = P.HISTORICAL_KEYS, label: str = P.TARGET,
-                       smoothing: float = P.HISTORICAL_SMOOTHING
+                       smoothing: float = P.HISTORICAL_SMOOTHING,
+                       classes: Sequence[str] = P.CLASS_ORDER
                        ) -> tuple[DataFrame, DataFrame]:
     """Smoothed leave-one-out target rates per key on train, smoothed rates on test.
 
     train: (group_sum - own + m*g) / (group_n - 1 + m)
     test:  (group_sum + m*g) / (group_n + m); unseen or NULL key -> g.
-    One aggregate per key computes all six sums; the six priors g are one row.
+
+    All keys' sums come from one aggregate. The final rates are computed on
+    that small side: for test rows per key value, for training rows per (key
+    value, own label) — leaving one row out only depends on the row's label —
+    so each row gets its six rates from one equi-join and no arithmetic.
     """
     ind = historical_targets(label)
     prior_row = train.agg(*[F.avg(e).alias(n) for n, e in ind.items()]).first()
@@ -187,17 +192,27 @@ def add_smoothed_rates(train: DataFrame, test: DataFrame,
     stats, small = keyed_stats(label_only, key_cols,
                                [F.count(F.lit(1)).alias("__n")]
                                + [F.sum(f"__y_{n}").alias(f"__s_{n}") for n in ind])
-    helper = ["__n"] + [f"__s_{n}" for n in ind]
+    cnt = F.col("__n")
+    test_side = stats.select("__key", "__value", *[
+        ((F.col(f"__s_{n}") + prior[n] * m) / (cnt + m)).alias(n) for n in ind])
+    own = F.explode(F.array(*[F.lit(c) for c in classes])).alias("__own")
+    train_side = stats.select("*", own).select("__key", "__value", "__own", *[
+        ((F.col(f"__s_{n}") - F.col("__own").isin(*P.HISTORICAL_RATES[n]).cast("double")
+          + prior[n] * m) / (cnt - 1 + m)).alias(n) for n in ind])
+    train_side, test_side = train_side.persist(), test_side.persist()
     for key, prefix in keys.items():
-        tr = attach_key_slice(train, stats, key, small[key])
-        te = attach_key_slice(test, stats, key, small[key])
-        for n, e in ind.items():
-            g = F.lit(prior[n])
-            s, cnt = F.col(f"__s_{n}"), F.col("__n")
-            tr = tr.withColumn(f"{prefix}_{n}", F.coalesce((s - e + g * m) / (cnt - 1 + m), g))
-            te = te.withColumn(f"{prefix}_{n}", F.coalesce((s + g * m) / (cnt + m), g))
-        train, test = tr.drop(*helper), te.drop(*helper)
-    return train, test
+        renames = {n: f"{prefix}_{n}" for n in ind}
+        tr_part = train_side.filter(F.col("__key") == key).drop("__key")
+        te_part = test_side.filter(F.col("__key") == key).drop("__key")
+        tr_part = F.broadcast(tr_part) if small[key] else tr_part
+        te_part = F.broadcast(te_part) if small[key] else te_part
+        train = (train.join(tr_part, (train[key].cast("string") == tr_part["__value"])
+                            & (train[label] == tr_part["__own"]), "left")
+                      .drop("__value", "__own").withColumnsRenamed(renames))
+        test = (test.join(te_part, test[key].cast("string") == te_part["__value"], "left")
+                    .drop("__value").withColumnsRenamed(renames))
+    fill = {f"{p}_{n}": prior[n] for p in keys.values() for n in ind}
+    return train.na.fill(fill), test.na.fill(fill)
 
 
 def drop_encoded_categoricals(df: DataFrame) -> DataFrame:
