@@ -391,3 +391,58 @@ QUERIES.update({
     "correlation_matrix": correlation_matrix,
     "dataset_profile": dataset_profile,
 })
+
+
+# ---- models (rows-only checks: model fits have no SQL twin) ----------------------------
+from pushback.plans import training as TR  # noqa: E402
+from pushback.plans.models import TrainingConfig  # noqa: E402
+
+# Registered model queries cap L-BFGS at 100 iterations: each iteration is one
+# Spark job, and the library default (2000, the reference's) takes minutes.
+QUERY_CONFIG = TrainingConfig(max_iter=100)
+
+
+def _matrices(spark: SparkSession, sf: str):
+    def build():
+        train, test = _split(spark, sf)
+        tr, te = FE.build_feature_matrices(train, test)
+        return cut_lineage(tr), cut_lineage(te)
+    return _materialised(spark, sf, "matrices", build)
+
+
+def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    """H5: train and test feature matrices (label and row_id kept), one frame."""
+    tr, te = _matrices(spark, sf)
+    return tr.withColumn("is_test", F.lit(False)).unionByName(te.withColumn("is_test", F.lit(True)))
+
+
+def holdout_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Balanced logistic regression fitted on train, holdout predictions."""
+    tr, te = _matrices(spark, sf)
+    _, pairs = TR.train_and_evaluate("logreg_balanced", tr, te, QUERY_CONFIG)
+    return pairs
+
+
+def model_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """G18 + F2 over the linear modes and the baseline, ranked."""
+    tr, te = _matrices(spark, sf)
+    ranked = TR.run_all_models(tr, te, ["majority_baseline", "logreg_balanced",
+                                        "logreg_unbalanced"], QUERY_CONFIG)
+    return ranked.select("rank", "model_mode", "is_best", *RK.CORE, *RK.COST)
+
+
+def honest_cv(spark: SparkSession, sf: str) -> DataFrame:
+    """Fold-local CV of balanced logistic regression on the raw training rows."""
+    train, _ = _split(spark, sf)
+    res = TR.honest_cv("logreg_balanced", train)
+    return spark.createDataFrame([(res["mean_score"], res["std_score"], res["selection_score"],
+                                   res["folds"])],
+                                 "mean_score double, std_score double, selection_score double, "
+                                 "folds int")
+
+
+QUERIES.update({
+    "feature_matrix": feature_matrix,
+    "holdout_predictions": holdout_predictions,
+    "model_runs": model_runs,
+})
