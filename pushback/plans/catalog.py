@@ -446,3 +446,30 @@ QUERIES.update({
     "holdout_predictions": holdout_predictions,
     "model_runs": model_runs,
 })
+
+
+# ---- sources ---------------------------------------------------------------------------
+from pushback.sources import weather_json as WJ  # noqa: E402
+
+
+def stations_to_load(spark: SparkSession, sf: str) -> DataFrame:
+    return WJ.stations_to_load(fixture.flights(spark, sf), fixture.airports(spark, sf),
+                               fixture.weather_hourly(spark, sf))
+
+
+def weather_payload_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """A4: hourly rows -> JSON payload files (one folder per station) -> flattened rows."""
+    import os
+    from pushback.session import ensure_checkpoint_dir
+    events = fixture.read_table(spark, sf, "events")
+    year = events.agg(F.min(F.year("ts"))).first()[0]
+    folder = os.path.join(ensure_checkpoint_dir(spark), f"weather-payloads-{os.getpid()}-{id(spark)}")
+    payloads = WJ.payloads_from_hourly(fixture.weather_hourly(spark, sf), year)
+    payloads.select("station", "hourly").write.mode("overwrite").partitionBy("station").json(folder)
+    return WJ.flatten_hourly(WJ.read_payloads(spark, folder))
+
+
+QUERIES.update({
+    "stations_to_load": stations_to_load,
+    "weather_payload_roundtrip": weather_payload_roundtrip,
+})

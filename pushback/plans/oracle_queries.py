@@ -134,3 +134,13 @@ SQL.update({
     "correlation_matrix": over_cleaned(EX.correlation("labelled", _C.CORR_COLUMNS), **_LABELLED),
     "dataset_profile": over_cleaned(EX.profile("cleaned", _CLEAN_COLS)),
 })
+
+SQL.update({
+    "stations_to_load": O.with_views("""
+        SELECT DISTINCT station FROM (SELECT ORIGIN_AIRPORT AS station FROM flights
+                                      UNION ALL SELECT DESTINATION_AIRPORT FROM flights)
+        WHERE station IS NOT NULL
+          AND station IN (SELECT IATA_CODE FROM airports WHERE LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL)
+          AND station NOT IN (SELECT station FROM weather)""", **O.BASE_VIEWS),
+    "weather_payload_roundtrip": O.WEATHER,
+})
