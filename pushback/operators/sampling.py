@@ -80,7 +80,7 @@ def split_dataset(df: DataFrame, label: str = P.TARGET, test_size: float = P.TES
     materialised ranking instead of recomputing it.
     """
     from pushback.session import cut_lineage
-    flagged = cut_lineage(split_flags(df, label, test_size, seed, row_id))
+    flagged = cut_lineage(split_flags(df, label, test_size, seed, row_id), "split")
     return (flagged.filter(~F.col("is_test")).drop("is_test"),
             flagged.filter(F.col("is_test")).drop("is_test"))
 

@@ -19,19 +19,6 @@ from pushback.sources import fixture
 FIXTURE_TIME_KEYS = ("day", "hour")
 
 
-def flights_view(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture.flights(spark, sf)
-
-
-def weather_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture.weather_hourly(spark, sf)
-
-
-def enriched(spark: SparkSession, sf: str) -> DataFrame:
-    return enrich.merge_weather(fixture.flights(spark, sf), fixture.weather_hourly(spark, sf),
-                                fixture.airports(spark, sf), time_keys=FIXTURE_TIME_KEYS)
-
-
 _MATERIALISED: dict = {}
 
 
@@ -47,9 +34,24 @@ def _materialised(spark: SparkSession, sf: str, name: str, build):
     return _MATERIALISED[key]
 
 
+def flights_view(spark: SparkSession, sf: str) -> DataFrame:
+    return fixture.flights(spark, sf)
+
+
+def weather_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    return fixture.weather_hourly(spark, sf)
+
+
+def enriched(spark: SparkSession, sf: str) -> DataFrame:
+    """H1 output, written once per session (the reference's flights_weather file)."""
+    return _materialised(spark, sf, "enriched", lambda: cut_lineage(enrich.merge_weather(
+        fixture.flights(spark, sf), fixture.weather_hourly(spark, sf),
+        fixture.airports(spark, sf), time_keys=FIXTURE_TIME_KEYS), "enriched"))
+
+
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return _materialised(spark, sf, "cleaned",
-                         lambda: cut_lineage(cleaning.clean(enriched(spark, sf).persist())))
+                         lambda: cut_lineage(cleaning.clean(enriched(spark, sf)), "cleaned"))
 
 
 def join_coverage(spark: SparkSession, sf: str) -> DataFrame:
@@ -406,7 +408,7 @@ def _matrices(spark: SparkSession, sf: str):
     def build():
         train, test = _split(spark, sf)
         tr, te = FE.build_feature_matrices(train, test)
-        return cut_lineage(tr), cut_lineage(te)
+        return cut_lineage(tr, "train_matrix"), cut_lineage(te, "test_matrix")
     return _materialised(spark, sf, "matrices", build)
 
 
