@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushback.llm import bpe, packing, simhash
-from pushback.llm.common import table
+from pushback.llm import bpe, packing, quality, simhash, stages, toxicity
+from pushback.llm.common import id_hash, table
 
 
 def op2_simhash_neardup(spark: SparkSession, sf: str) -> DataFrame:
@@ -16,6 +16,22 @@ def op2_simhash_neardup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op6_subword_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = quality.trained(docs, table(spark, sf, "labels"), train=stages.quality_train())
+    return quality.score_documents(docs, model).select(
+        "doc_id", (id_hash("doc_id") % 3 == 1).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op7_deobfuscated_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = toxicity.trained(docs, table(spark, sf, "labels"), train=stages.toxicity_train())
+    return toxicity.score_documents(docs, model).select(
+        "doc_id", (id_hash("doc_id") % 4 == 2).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op9_bfd_packing(spark: SparkSession, sf: str, path: str | None = None) -> DataFrame:
     cut = packing.pieces(table(spark, sf, "documents"),
                          path=path or public_tokenizers.path("byte_bpe_50k.json"))
@@ -31,5 +47,6 @@ def op10_bpe_roundtrip(spark: SparkSession, sf: str, path: str | None = None) ->
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_neardup, op9_bfd_packing, op10_bpe_roundtrip)}
+QUERIES = {f.__name__: f for f in (
+    op2_simhash_neardup, op6_subword_quality, op7_deobfuscated_toxicity, op9_bfd_packing, op10_bpe_roundtrip)}
 SQL: dict[str, str] = {}
