@@ -7,10 +7,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushback.llm import bpe, packing, quality, simhash, stages, toxicity
+from pushback.llm import bpe, packing, ppm, quality, simhash, stages, toxicity
 from pushback.llm.common import id_hash, table
 
 
+def op1_ppm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    scored = ppm.score_documents(table(spark, sf, "documents"), train=id_hash("doc_id") % 7 != 2)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                         "base_score", "score", "n_bytes")
+
+
 def op2_simhash_neardup(spark: SparkSession, sf: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf, "documents"))
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
@@ -48,5 +54,5 @@ def op10_bpe_roundtrip(spark: SparkSession, sf: str, path: str | None = None) ->
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_simhash_neardup, op6_subword_quality, op7_deobfuscated_toxicity, op9_bfd_packing, op10_bpe_roundtrip)}
+    op1_ppm_scores, op2_simhash_neardup, op6_subword_quality, op7_deobfuscated_toxicity, op9_bfd_packing, op10_bpe_roundtrip)}
 SQL: dict[str, str] = {}
