@@ -4,9 +4,9 @@ What is modelled is a text's words (A-Z lower-cased) joined by one space and
 ended by one end symbol (byte 10, which no such text holds and which also
 fills the contexts before its start). The model is a trie of byte contexts of
 orders 0 to ORDER with counts over the training texts. A symbol is coded in
-the longest context seen; if it is new there, an escape is coded (method D: a
-seen symbol has (2c - 1) / 2T, the escape q / 2T, for q distinct symbols in T
-counts) and the next shorter context is used without the symbols just
+the longest context seen; if it is new there, an escape is coded (a symbol
+seen c times of T has (c - d) / T, the escape q * d / T for q distinct symbols,
+d = DISCOUNT) and the next shorter context is used without the symbols just
 excluded; below order 0 the symbols left are alike. Pretrained: scoring does
 not change counts.
 
@@ -44,6 +44,7 @@ from pushback.session import cut_lineage
 
 ORDER = 5
 SHARED_ORDER = 2
+DISCOUNT = 0.3
 CHUNK_BYTES = 6_000_000
 CHUNKS_A_SHARD = 4
 LEAST_SHARDS = 32
@@ -156,9 +157,9 @@ def log_probabilities(strings: np.ndarray, trie: list[Level]) -> np.ndarray:
         count = level.count(wanted)
         use = new > 0
         hit = use & (count > 0)
-        out[rest[hit]] += np.log10((count[hit] - 0.5) / left[hit])
+        out[rest[hit]] += np.log10((count[hit] - DISCOUNT) / left[hit])
         miss = use & ~hit
-        out[rest[miss]] += np.log10(new[miss] / 2 / left[miss])
+        out[rest[miss]] += np.log10(new[miss] * DISCOUNT / left[miss])
         # the next shorter context codes without this one's symbols
         cut_total[rest], cut_kinds[rest] = _find(level.contexts, context, level.covered), kinds
         rest = rest[~hit]
