@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushback.llm import bpe, packing, ppm, quality, simhash, stages, toxicity
+from pushback.llm import bpe, extract, ledger, licenses, packing, ppm, quality, simhash, sketch, stages, toxicity
 from pushback.llm.common import id_hash, table
+from pushback.llm.oracle_sql import SQL as SQL  # noqa: PLC0414
 
 
 def op1_ppm_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -22,6 +23,28 @@ def op2_simhash_neardup(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", simhash.fingerprint_hex("fp").alias("fingerprint"), "component_id")
 
 
+def op3_rule_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    rows = ledger.apply_policy(ledger.ledger(table(spark, sf, "documents"), keep=["doc_id"]))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       (~ledger.passes(ledger.BASE)).alias("base_failed"), "kept")
+
+
+def op4_tag_path_extract(spark: SparkSession, sf: str) -> DataFrame:
+    found = extract.extract(table(spark, sf, "pages"), keep=["page_id", "url"])
+    return found.select("page_id", "url", F.col("main_text").alias("text"),
+                        F.char_length("main_text").cast("bigint").alias("n_chars"))
+
+
+def op5_scaled_sketch(spark: SparkSession, sf: str) -> DataFrame:
+    found = sketch.fingerprints(table(spark, sf, "documents"))
+    own, edited, after = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return found.select(
+        "doc_id", F.char_length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        F.array_join(own, "").alias("fingerprint"), F.array_join(edited, "").alias("edited_fingerprint"),
+        sketch.likeness(own, edited).alias("near_edited"), sketch.likeness(own, after).alias("near_next"),
+        sketch.containment(own, edited).alias("contained_edited"), sketch.containment(own, after).alias("contained_next"))
+
+
 def op6_subword_quality(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     model = quality.trained(docs, table(spark, sf, "labels"), train=stages.quality_train())
@@ -38,6 +61,13 @@ def op7_deobfuscated_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op8_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as files: source and language are their directories."""
+    docs = table(spark, sf, "documents")
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", "text", path.alias("path")), id_col="doc_id")
+
+
 def op9_bfd_packing(spark: SparkSession, sf: str, path: str | None = None) -> DataFrame:
     cut = packing.pieces(table(spark, sf, "documents"),
                          path=path or public_tokenizers.path("byte_bpe_50k.json"))
@@ -54,5 +84,5 @@ def op10_bpe_roundtrip(spark: SparkSession, sf: str, path: str | None = None) ->
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ppm_scores, op2_simhash_neardup, op6_subword_quality, op7_deobfuscated_toxicity, op9_bfd_packing, op10_bpe_roundtrip)}
-SQL: dict[str, str] = {}
+    op1_ppm_scores, op2_simhash_neardup, op3_rule_ledger, op4_tag_path_extract, op5_scaled_sketch,
+    op6_subword_quality, op7_deobfuscated_toxicity, op8_license_scan, op9_bfd_packing, op10_bpe_roundtrip)}
