@@ -18,7 +18,7 @@ import json
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import tiktoken
 from pyspark.sql import DataFrame
@@ -139,13 +139,12 @@ def pack(parts: DataFrame, *, order: list[str], length_col: str = "length", wind
     schema = T.StructType([*parts.schema.fields, T.StructField("sequence_id", T.LongType()),
                            T.StructField("offset", T.LongType())])
 
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([length_col, *order], ascending=[False] + [True] * len(order), kind="stable")
-        sequences, offsets = best_fit_decreasing(rows[length_col].tolist(), window)
-        rows = rows.drop(columns="_group")
-        rows["sequence_id"] = np.array(sequences, dtype=np.int64) * groups + int(key[0])
-        rows["offset"] = np.array(offsets, dtype=np.int64)
-        return rows
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([(length_col, "descending"), *((c, "ascending") for c in order)]).drop_columns(["_group"])
+        sequences, offsets = best_fit_decreasing(rows[length_col].to_pylist(), window)
+        ids = np.array(sequences, dtype=np.int64) * groups + key[0].as_py()
+        return rows.append_column("sequence_id", pa.array(ids)).append_column(
+            "offset", pa.array(offsets, type=pa.int64()))
 
     return (parts.withColumn("_group", F.pmod(F.xxhash64(*order), F.lit(groups)))
-            .groupBy("_group").applyInPandas(run, schema))
+            .groupBy("_group").applyInArrow(run, schema))

@@ -34,6 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -243,23 +244,24 @@ def answer(rows: pd.DataFrame, shared: tuple[np.ndarray, np.ndarray]) -> pd.Data
     return pd.DataFrame(out, columns=ANSWERS.names)
 
 
-def add_up(rows: pd.DataFrame, answers: pd.DataFrame, id_col: str, shards: int) -> pd.DataFrame:
+def add_up(rows: pa.Table, answers: pa.Table, id_col: str, shards: int) -> pa.Table:
     """Sums of each text of a chunk."""
-    lists, lines = _lines(rows["_raw"])
+    lists, lines = _lines(rows["_raw"].to_pylist())
     strings, at, sizes = byte_strings(lines)
     hashes, w_at, w_sizes = word_hashes(lists)
     chances, counts = np.zeros(len(strings)), np.zeros(len(hashes))
-    answers = answers.set_index("shard")
+    of_shard = {k: (c, w) for k, c, w in zip(*(answers[c].to_pylist() for c in ("shard", "chances", "word_counts")))}
     for k, s, w in in_shards(strings, hashes, shards):
-        chances[s] = np.frombuffer(answers.at[k, "chances"], dtype="<f4")
-        counts[w] = np.frombuffer(answers.at[k, "word_counts"], dtype="<i8")
+        own_chances, own_counts = of_shard[k]
+        chances[s] = np.frombuffer(own_chances, dtype="<f4")
+        counts[w] = np.frombuffer(own_counts, dtype="<i8")
     of_text = np.repeat(np.arange(len(lines)), sizes)
     of_token = np.repeat(np.arange(len(lines)), w_sizes)
     total = lambda owner, values: np.bincount(owner, weights=values, minlength=len(lines))
-    return pd.DataFrame({
-        id_col: rows[id_col], "_train": rows["_train"], "n_bytes": sizes, "n_tokens": w_sizes,
-        "n_known": total(of_token, (counts > 0)[w_at]).astype(np.int64),
-        "_known": total(of_token, np.log10(counts + 1)[w_at]), "score": total(of_text, chances[at])})
+    return pa.table({
+        id_col: rows[id_col], "_train": rows["_train"], "n_bytes": pa.array(sizes), "n_tokens": pa.array(w_sizes),
+        "n_known": pa.array(total(of_token, (counts > 0)[w_at]).astype(np.int64)),
+        "_known": pa.array(total(of_token, np.log10(counts + 1)[w_at])), "score": pa.array(total(of_text, chances[at]))})
 
 
 def score_documents(docs: DataFrame, *, train: Column, id_col: str = "doc_id", text_col: str = "text",
@@ -286,7 +288,7 @@ def score_documents(docs: DataFrame, *, train: Column, id_col: str = "doc_id", t
         T.StructField("n_known", T.LongType()), T.StructField("_known", T.DoubleType()),
         T.StructField("score", T.DoubleType())])
     scored = (dealt.groupBy("_chunk").cogroup(answers.where(F.col("_chunk") != WHOLE).groupBy("_chunk"))
-              .applyInPandas(lambda rows, got: add_up(rows, got, id_col, shards), sums))
+              .applyInArrow(lambda rows, got: add_up(rows, got, id_col, shards), sums))
     return scored.select(
         id_col, F.col("_train").alias("train"), "n_bytes", "n_tokens", "n_known", F.lit(n).alias("train_tokens"),
         (F.col("_known") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))).alias("base_score"), "score")

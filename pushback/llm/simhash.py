@@ -63,14 +63,16 @@ def fingerprint(raw: bytes | None, shingle_words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp): one row per document, ``fp`` a signed long."""
-    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("fp", T.LongType())])
+    """(id, text_hash, fp): one row per document, ``fp`` a signed long."""
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType),
+                           T.StructField("text_hash", T.LongType()), T.StructField("fp", T.LongType())])
 
     def run(rows):
-        for key, raw in rows:
-            yield key, fingerprint(raw, shingle_words)
+        for key, h, raw in rows:
+            yield key, h, fingerprint(raw, shingle_words)
 
-    return map_rows(docs.select(F.col(id_col), F.col(text_col).cast("binary").alias("_raw")), run, schema)
+    return map_rows(docs.select(F.col(id_col), F.xxhash64(text_col).alias("_h"),
+                                F.col(text_col).cast("binary").alias("_raw")), run, schema)
 
 
 def block_masks(max_bits: int = MAX_BITS, agree: int = AGREE_BLOCKS) -> list[int]:
@@ -173,28 +175,37 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+           shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """(id, text_hash, fp, root) of every row; rows of one group share root,
+    the smallest fingerprint (as a signed long) of their component."""
+    prints = cut_lineage(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words),
+                         "fingerprints")
+    nodes = prints.select("fp").distinct()
+    star = components(links(nodes, max_bits=max_bits)).select(F.col("u").alias("fp"), F.col("v").alias("root"))
+    rooted = nodes.join(star, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+    return prints.join(rooted, "fp").select(F.col(id_col), "text_hash", "fp", "root")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """(id, fp, component_id): component_id is the smallest id reachable."""
-    prints = cut_lineage(fingerprints(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words),
-                         "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min(id_col).alias("rep"))
-    root = components(links(nodes.select("fp"), max_bits=max_bits)).select(
-        F.col("u").alias("fp"), F.col("v").alias("root"))
-    rooted = nodes.join(root, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(F.col(id_col), "fp", "component_id")
+    found = groups(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, max_bits=max_bits)
+    smallest = found.groupBy("root").agg(F.min(id_col).alias("component_id"))
+    return found.join(smallest, "root").select(F.col(id_col), "fp", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                          shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
-    """Documents with one row kept of each near-duplicate group (the smallest
-    id; of rows that repeat that id, one). Rows without an id are kept."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, max_bits=max_bits)
-    keep = found.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("_keep")).distinct()
-    kept = docs.join(keep, F.col(id_col) == F.col("_keep")).drop("_keep").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    """Documents with one row kept of each near-duplicate group: the smallest
+    id (null last), of rows with that id one of the smallest text hash."""
+    found = groups(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, max_bits=max_bits)
+    keep = found.groupBy("root").agg(F.min(F.struct(
+        F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_hash").alias("h"))).alias("k"))
+    keep = keep.select(F.col("k.id").alias("_keep_id"), F.col("k.h").alias("_keep_h"))
+    same = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.xxhash64(text_col) == F.col("_keep_h"))
+    return (docs.join(keep, same).drop("_keep_id")
+            .dropDuplicates([id_col, "_keep_h"]).drop("_keep_h"))
 
 
 def fingerprint_hex(fp: str):
