@@ -7,7 +7,8 @@ the columns it is told to use by name, so other columns never clash.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import pickle
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -73,12 +74,13 @@ def _batch(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordB
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, train: Column, per_class: int,
-                    id_col: str = "doc_id", text_col: str = "text") -> list[tuple[str, int]]:
-    """At most ``per_class`` labelled training texts of each class, whole.
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(rank, text, y): at most ``per_class`` labelled training texts of each
+    class, whole.
 
     ``train`` tells by id which rows may be learned from; rows are taken in
     the order of a hash of the id, so the sample does not depend on layout.
-    Bounded by 2 * per_class rows, which is why it may come to the driver.
+    Of rows that share an id the smallest text counts.
     """
     known = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).where(train)
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y")))
@@ -88,10 +90,21 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, train: Co
     for y in (0, 1):
         one = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         picked = one if picked is None else picked.unionByName(one)
-    rows = (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-            .join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("_text"))
-            .orderBy(F.xxhash64("_id"), "_id").select("_text", "_y").collect())
-    return [(r[0], r[1]) for r in rows]
+    return (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+            .join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("text"))
+            .select(F.xxhash64("_id", "_y").alias("rank"), "text", F.col("_y").alias("y")))
+
+
+def fit_in_task(sample: DataFrame, fit: Callable[[list[tuple[str, int]]], object]) -> object:
+    """``fit`` of the (text, y) rows of a bounded sample, run in one task; only
+    the model comes to the driver."""
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("rank", "ascending"), ("text", "ascending")])
+        model = fit(list(zip(rows["text"].to_pylist(), rows["y"].to_pylist(), strict=True)))
+        return pa.table({"model": pa.array([pickle.dumps(model)], type=pa.binary())})
+
+    row = sample.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(run, "model binary").first()
+    return pickle.loads(row["model"]) if row else fit([])
 
 
 def group_starts(keys: np.ndarray) -> np.ndarray:

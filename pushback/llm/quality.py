@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pushback.llm.common import labelled_sample
+from pushback.llm.common import fit_in_task, labelled_sample
 
 PER_CLASS = 1500
 BUCKETS = 1 << 16
@@ -186,8 +186,8 @@ def scorer(model: Model):
 def trained(docs: DataFrame, labels: DataFrame, *, train: Column, per_class: int = PER_CLASS,
             id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Model of at most ``per_class`` labelled training texts of each class."""
-    return fit(labelled_sample(docs, labels, label="quality", train=train, per_class=per_class,
-                               id_col=id_col, text_col=text_col))
+    return fit_in_task(labelled_sample(docs, labels, label="quality", train=train, per_class=per_class,
+                                       id_col=id_col, text_col=text_col), fit)
 
 
 def score_documents(docs: DataFrame, model: Model, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
