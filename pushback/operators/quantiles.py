@@ -3,22 +3,32 @@
 ``F.percentile`` is exact but keeps every distinct value of a group in one
 task. Here the answer is bracketed first: ``percentile_approx`` with accuracy
 ``A`` returns a value whose rank is within ``n/A`` of the target, so the
-values at probabilities ``p - 2/A`` and ``p + 2/A`` enclose the exact order
-statistics once a group holds ``4A`` values or more (smaller groups use all
-their values as the bracket). One pass counts the values below the bracket;
-only the values inside it (about ``6n/A``, at most ``4A`` for small groups) are
-ranked by a window. The result is the
-exact quantile with bounded per-task memory at any table size.
+values at probabilities ``p - m`` and ``p + m`` enclose the exact order
+statistics if ``m >= 1/A + 3/n``. One aggregate asks for every margin
+``2/A, 4/A, ...`` and each group uses the first that is wide enough for its
+``n``; plan and rule are the same at every size.
+
+One further scan, to which the small table of bounds is broadcast, counts the
+values below each bracket and, for values inside, the rows of each distinct
+value; ties collapse before the shuffle. Inside a bracket, equal slices of the
+value range are counted, and only the slices that hold the wanted ranks are
+put in order. No exchange is keyed by group and column alone but those of
+partial sums and of at most SLICES slice counts.
 """
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pushback.operators.joins import broadcast_if_small
+from pushback.session import cut_lineage
+
 DEFAULT_ACCURACY = 100_000
+SLICES = 1024
 
 
 def to_long(df: DataFrame, columns: Sequence[str], group_cols: Sequence[str] = (),
@@ -35,54 +45,77 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     """Long table (group..., column, prob, value, n) of exact linear quantiles."""
     group_cols = list(group_cols)
     keys = group_cols + ["column"]
-    eps = 2.0 / accuracy
-    lo_q = [max(0.0, p - eps) for p in probs]
-    hi_q = [min(1.0, p + eps) for p in probs]
+    probs = [float(p) for p in probs]
     long = to_long(df, columns, group_cols)
-
-    stats = long.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.percentile_approx("value", F.array(*[F.lit(q) for q in lo_q + hi_q]),
-                            accuracy).alias("bounds"))
-    k = len(probs)
-    # below 4*accuracy values the rank guarantee does not cover the target, so
-    # the whole group (fewer than 4*accuracy values) is the bracket
-    small = F.col("n") < 4 * accuracy
-    lo = [F.when(small, F.lit(float("-inf"))).otherwise(F.col("bounds")[i]) for i in range(k)]
-    hi = [F.when(small, F.lit(float("inf"))).otherwise(F.col("bounds")[k + i]) for i in range(k)]
-    joined = long.join(stats, keys)
-
-    below = joined.groupBy(*keys).agg(
-        *[F.count_if(F.col("value") < lo[i]).alias(f"below_{i}") for i in range(k)])
-
-    inside = F.filter(F.array(*[F.when((F.col("value") >= lo[i]) & (F.col("value") <= hi[i]),
-                                       F.lit(i)) for i in range(k)]),
-                      lambda x: x.isNotNull())
-    bracket = (joined.select(*keys, "value", F.explode(inside).alias("q"))
-               .withColumn("local_rank", F.row_number().over(
-                   _window(keys + ["q"], "value"))))
-
-    probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    below_arr = F.array(*[F.col(f"below_{i}") for i in range(k)])
-    ranked = (bracket.join(stats.select(*keys, "n"), keys)
-              .join(below, keys)
-              .withColumn("p", probs_arr[F.col("q")])
+    bounds = _bounds(long, keys, probs, accuracy)
+    cells = cut_lineage(_cells(long, bounds, keys, len(probs)), "quantile_cells")
+
+    below = cells.filter("q < 0").groupBy(*keys).agg(F.array(*[
+        F.sum(F.when(F.col("mask").bitwiseAND(F.lit(1 << i)) != 0, F.col("c")).otherwise(0))
+        for i in range(len(probs))]).alias("below"))
+    wanted = (bounds.join(below, keys, "left")
+              .select(*keys, "n", F.posexplode(F.arrays_zip(
+                  "lo", "hi", F.array(*[F.lit(p) for p in probs]).alias("p"),
+                  F.coalesce("below", F.array_repeat(F.lit(0).cast("bigint"), len(probs))).alias("below")))
+                  .alias("q", "x"))
+              .select(*keys, "n", "q", "x.lo", "x.hi", "x.p", "x.below")
               .withColumn("h", F.col("p") * (F.col("n") - 1))
-              .withColumn("r0", F.floor("h") - below_arr[F.col("q")] + 1)
-              .withColumn("r1", F.ceil("h") - below_arr[F.col("q")] + 1)
-              .filter((F.col("local_rank") == F.col("r0")) | (F.col("local_rank") == F.col("r1"))))
+              .withColumn("r0", F.floor("h") - F.col("below") + 1)
+              .withColumn("r1", F.ceil("h") - F.col("below") + 1))
+    place = (F.col("value") - F.col("lo")) / F.col("width") * SLICES
+    sliced = (cells.filter("q >= 0").join(F.broadcast(wanted), keys + ["q"])
+              .withColumn("width", F.col("hi") - F.col("lo"))
+              .withColumn("slice", F.when((F.col("width") > 0) & ~F.isnan(place),
+                                          F.least(F.lit(SLICES - 1), F.floor(place))).otherwise(0)))
+    at = keys + ["q", "slice"]
+    counts = sliced.groupBy(*at, "r0", "r1").agg(F.sum("c").alias("in_slice"))
+    run = Window.partitionBy(*keys, "q").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    hit = (counts.withColumn("off", F.coalesce(F.sum("in_slice").over(run), F.lit(0)))
+           .filter("(off < r0 and off + in_slice >= r0) or (off < r1 and off + in_slice >= r1)")
+           .select(*at, "off"))
+    order = Window.partitionBy(*at).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = sliced.join(F.broadcast(hit), at).withColumn("upto", F.col("off") + F.sum("c").over(order))
+    has = lambda r: (F.col("upto") - F.col("c") < F.col(r)) & (F.col("upto") >= F.col(r))
     out = ranked.groupBy(*keys, "q", "p", "h", "n").agg(
-        F.max(F.when(F.col("local_rank") == F.col("r0"), F.col("value"))).alias("v0"),
-        F.max(F.when(F.col("local_rank") == F.col("r1"), F.col("value"))).alias("v1"))
+        F.max(F.when(has("r0"), F.col("value"))).alias("v0"),
+        F.max(F.when(has("r1"), F.col("value"))).alias("v1"))
     frac = F.col("h") - F.floor("h")
     return out.select(*keys, F.col("p").alias("prob"),
                       (F.col("v0") + (F.col("v1") - F.col("v0")) * frac).alias("value"),
                       "n")
 
 
-def _window(partition, order):
-    from pyspark.sql import Window
-    return Window.partitionBy(*partition).orderBy(order)
+def _bounds(long: DataFrame, keys: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    """(keys, n, lo, hi): arrays by probability; one row per group and column."""
+    margins = [2.0 ** j / accuracy for j in range(1, math.ceil(math.log2(accuracy)) + 2)]
+    asked = ([max(0.0, p - m) for p in probs for m in margins]
+             + [min(1.0, p + m) for p in probs for m in margins])
+    stats = long.groupBy(*keys).agg(
+        F.count("value").alias("n"),
+        F.percentile_approx("value", F.array(*[F.lit(q) for q in asked]), accuracy).alias("b"))
+    level = F.least(F.lit(len(margins)), F.greatest(F.lit(1), F.ceil(F.log2(1 + 3.0 * accuracy / F.col("n"))))) - 1
+    pick = lambda i: F.get(F.col("b"), F.lit(i * len(margins)) + level.cast("int"))
+    k = len(probs)
+    return broadcast_if_small(cut_lineage(stats.select(
+        *keys, "n", F.array(*[pick(i) for i in range(k)]).alias("lo"),
+        F.array(*[pick(k + i) for i in range(k)]).alias("hi")), "quantile_bounds"))
+
+
+def _cells(long: DataFrame, bounds: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """(keys, q, mask, value, c): rows of each distinct value inside bracket q,
+    and with q = -1 rows by the set (bit mask) of brackets they lie below."""
+    v = F.col("value")
+    lo, hi = (lambda i: F.get("lo", F.lit(i))), (lambda i: F.get("hi", F.lit(i)))
+    mask = F.lit(0)
+    for i in range(k):
+        mask = mask.bitwiseOR(F.when(v < lo(i), F.lit(1 << i)).otherwise(0))
+    part = lambda q, m, x: F.struct(F.lit(q).alias("q"), m.alias("mask"), x.alias("value"))
+    entries = F.filter(F.array(
+        F.when(mask != 0, part(-1, mask, F.lit(None).cast("double"))),
+        *[F.when((v >= lo(i)) & (v <= hi(i)), part(i, F.lit(0), v)) for i in range(k)]), lambda e: e.isNotNull())
+    joined = long.join(bounds, keys)
+    return (joined.select(*keys, F.explode(entries).alias("e")).select(*keys, "e.q", "e.mask", "e.value")
+            .groupBy(*keys, "q", "mask", "value").agg(F.count(F.lit(1)).alias("c")))
 
 
 def quantile_map(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
