@@ -104,6 +104,32 @@ def cost_metrics(pred: DataFrame, costs: dict = P.MISCLASS_COST, baseline: str =
                           - F.col("average_misclassification_cost"))
 
 
+def metrics_of_cells(cells: dict, costs: dict = P.MISCLASS_COST, baseline: str = "on_time") -> tuple[dict, dict]:
+    """D24 and D26 from the counts of (true, predicted) cells, of which there
+    are at most classes times classes: (core metrics, cost metrics)."""
+    n = sum(cells.values())
+    true, predicted, right = {}, {}, {}
+    for (t, p), c in cells.items():
+        true[t] = true.get(t, 0) + c
+        predicted[p] = predicted.get(p, 0) + c
+        right[t] = right.get(t, 0) + (c if t == p else 0)
+    unknown = [t for t in true if t is not None and t not in costs]
+    if unknown:
+        raise ValueError(f"labels without a cost: {unknown}")
+    labels = {x for x in (*true, *predicted) if x is not None}
+    f1 = {x: 2 * right.get(x, 0) / (true.get(x, 0) + predicted.get(x, 0)) for x in labels}
+    recalls = [right[t] / c for t, c in true.items()]
+    share = lambda total: total / n if n else 0.0
+    core = {"accuracy": share(sum(right.values())),
+            "balanced_accuracy": sum(recalls) / len(recalls) if recalls else 0.0,
+            "macro_f1": sum(f1.values()) / len(f1) if f1 else 0.0,
+            "weighted_f1": share(sum(f1[t] * c for t, c in true.items() if t is not None))}
+    paid = share(sum(costs[t] * c for (t, p), c in cells.items() if t is not None and t != p))
+    plain = share(sum(costs[t] * c for t, c in true.items() if t is not None and t != baseline))
+    return core, {"average_misclassification_cost": paid, "baseline_on_time_average_cost": plain,
+                  "cost_reduction_vs_on_time_baseline": plain - paid}
+
+
 def class_weights(df: DataFrame, label: str = P.TARGET, weight: str = "weight") -> DataFrame:
     """D27: "balanced" weight n / (k * n_class) as a column (class counts: k rows)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
