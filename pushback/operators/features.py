@@ -20,6 +20,7 @@ from pushback.functions.calendar import federal_holidays
 from pushback.functions.exprs import (departure_bank, departure_bank_code, hour_of_hhmm,
                                       joined_key, weather_intensity)
 from pushback.operators.joins import attach_key_slice, attach_stats, keyed_stats
+from pushback.session import cut_lineage
 
 DEP_HOUR = "__dep_hour"
 ARR_HOUR = "__arr_hour"
@@ -242,9 +243,11 @@ def mutual_information(df: DataFrame, columns: Sequence[str], label: str = P.TAR
     long = (df.select(F.col(label).alias("__y"), *[F.col(c).cast("double").alias(c) for c in cols])
               .unpivot("__y", cols, "column", "value")
               .filter(F.col("value").isNotNull() & F.col("__y").isNotNull()))
+    distinct = (long.groupBy("column", "value").agg(F.lit(1).alias("one"))
+                .groupBy("column").agg(F.count("one").alias("nd")))
     edges = long.groupBy("column").agg(
-        F.count_distinct("value").alias("nd"),
-        F.percentile_approx("value", [i / bins for i in range(1, bins)], accuracy).alias("edges"))
+        F.percentile_approx("value", [i / bins for i in range(1, bins)], accuracy).alias("edges")).join(
+        distinct, "column")
     binned = long.join(F.broadcast(edges), "column").withColumn(
         "bin", F.when(F.col("nd") <= bins, F.col("value")).otherwise(
             F.size(F.filter("edges", lambda e: e < F.col("value"))).cast("double")))
@@ -277,8 +280,7 @@ def select_informative(train: DataFrame, test: DataFrame, label: str = P.TARGET,
     if method == "none":
         return train, test, features
     if method != "mutual_info":
-        raise ValueError(f"Unsupported feature_selection_method '{method}'. "
-                         "Use 'none' or 'mutual_info'.")
+        raise ValueError(f"no feature selection by '{method}', only 'none' or 'mutual_info'")
     keep_always = [c for c in train.columns if c in set(exclude) | {label}]
     varying = varying_columns(train, features)
     if not varying:
@@ -302,8 +304,9 @@ def build_feature_matrices(train: DataFrame, test: DataFrame, label: str = P.TAR
     The label column stays on both outputs (labels are not detached vectors);
     ``row_id`` is carried through for joins.
     """
-    tr = drop_non_predictive(train).transform(prepare_model_features)
-    te = drop_non_predictive(test).transform(prepare_model_features)
+    # written once: each encoding's statistics read the result again
+    tr = cut_lineage(drop_non_predictive(train).transform(prepare_model_features), "train_features")
+    te = cut_lineage(drop_non_predictive(test).transform(prepare_model_features), "test_features")
     tr, te = add_frequency_encoding(tr, te, [c for c in P.FREQUENCY_COLUMNS if c in tr.columns])
     tr, te = add_smoothed_rates(tr, te, {**P.HISTORICAL_KEYS, **P.INTERACTION_HISTORICAL_KEYS},
                                 label)

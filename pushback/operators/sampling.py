@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from pushback import profile as P
 from pushback.operators.joins import attach_stats
+from pushback.session import cut_lineage
 
 BUCKET_DIGITS = 4
 
@@ -50,13 +51,43 @@ def rank_in_strata(df: DataFrame, strata: Sequence[str], row_id: str = "row_id",
                .drop("__h", "__b", "__r", "__off"))
 
 
+def first_in_strata(df: DataFrame, strata: Sequence[str], take: Column, salt: str, flag: str,
+                    row_id: str = "row_id", seed: int = P.RANDOM_STATE, digits: int = BUCKET_DIGITS) -> DataFrame:
+    """Flags the first ``take`` rows of each stratum in the seeded order;
+    ``take`` is an expression over ``__stratum_n``, the stratum's size.
+
+    Order by hash is order by bucket, so bucket sizes give a cut-off bucket
+    for each stratum: rows before it are in, rows after it are out, and only
+    its own rows (about n / 16**digits) are ranked. Other rows are not moved.
+    """
+    strata = list(strata)
+    keyed = (df.withColumn("__h", order_key(row_id, seed, salt))
+               .withColumn("__b", F.substring("__h", 1, digits)))
+    sizes = keyed.groupBy(*strata, "__b").agg(F.count(F.lit(1)).alias("__bn"))
+    run = Window.partitionBy(*strata).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    cuts = (sizes.withColumn("__off", F.coalesce(F.sum("__bn").over(run), F.lit(0)))
+            .withColumn("__stratum_n", F.sum("__bn").over(Window.partitionBy(*strata)))
+            .withColumn("__take", take.cast("bigint"))
+            .filter(F.col("__off") + F.col("__bn") > F.col("__take")).groupBy(*strata)
+            .agg(F.min("__b").alias("__cut"), F.min(F.struct("__b", F.col("__take") - F.col("__off"))).alias("__x"))
+            .select(*strata, "__cut", F.col("__x.col2").alias("__need")))
+    cuts = cut_lineage(cuts, "cuts")
+    placed = attach_stats(keyed, cuts, strata, null_safe=True)
+    # a stratum taken whole has no cut
+    clear = (placed.filter(F.col("__cut").isNull() | (F.col("__b") != F.col("__cut")))
+             .withColumn(flag, F.col("__cut").isNull() | (F.col("__b") < F.col("__cut"))))
+    inner = Window.partitionBy(*strata).orderBy("__h", row_id)
+    edge = (placed.filter(F.col("__b") == F.col("__cut"))
+            .withColumn(flag, F.row_number().over(inner) <= F.col("__need")))
+    return clear.unionByName(edge).drop("__h", "__b", "__cut", "__need")
+
+
 def stratified_sample(df: DataFrame, strata: Sequence[str] = ("MONTH",),
                       fraction: float = P.SAMPLE_FRACTION, seed: int = P.RANDOM_STATE,
                       row_id: str = "row_id") -> DataFrame:
     """E5: per stratum exactly round_half_even(fraction * n) rows."""
-    ranked = rank_in_strata(df, strata, row_id, seed, "sample")
-    keep = F.bround(F.col("__stratum_n") * F.lit(fraction), 0)
-    return ranked.filter(F.col("__rank") <= keep).drop("__rank", "__stratum_n")
+    take = F.bround(F.col("__stratum_n") * F.lit(fraction), 0)
+    return first_in_strata(df, strata, take, "sample", "__in", row_id, seed).filter("__in").drop("__in")
 
 
 def split_flags(df: DataFrame, label: str = P.TARGET, test_size: float = P.TEST_SIZE,
@@ -64,11 +95,9 @@ def split_flags(df: DataFrame, label: str = P.TARGET, test_size: float = P.TEST_
                 flag: str = "is_test") -> DataFrame:
     """Per class clip(round(n * size), 1, n - 1) test rows; a class of <= 1 row is
     all train. NULL labels form a class."""
-    ranked = rank_in_strata(df, [label], row_id, seed, "split")
     n = F.col("__stratum_n")
     k = F.greatest(F.lit(1), F.least(F.bround(n * F.lit(test_size), 0), n - 1))
-    is_test = (n > 1) & (F.col("__rank") <= k)
-    return ranked.withColumn(flag, is_test).drop("__rank", "__stratum_n")
+    return first_in_strata(df, [label], F.when(n > 1, k).otherwise(0), "split", flag, row_id, seed)
 
 
 def split_dataset(df: DataFrame, label: str = P.TARGET, test_size: float = P.TEST_SIZE,
@@ -79,7 +108,6 @@ def split_dataset(df: DataFrame, label: str = P.TARGET, test_size: float = P.TES
     The flagged table is checkpointed (shared folder) so both halves read one
     materialised ranking instead of recomputing it.
     """
-    from pushback.session import cut_lineage
     flagged = cut_lineage(split_flags(df, label, test_size, seed, row_id), "split")
     return (flagged.filter(~F.col("is_test")).drop("is_test"),
             flagged.filter(F.col("is_test")).drop("is_test"))
