@@ -6,7 +6,8 @@ from pushback import profile as P
 from pushback.plans import models as M
 from pushback.plans import training as TR
 
-FAST = M.TrainingConfig(max_iter=30, rf_n_estimators=5, gbt_max_iter=3)
+FAST = M.TrainingConfig(max_iter=30, rf_n_estimators=3, rf_max_depth=4, hgb_max_depth=3)
+FEW = replace(FAST, max_iter=3)  # boosting rounds
 
 
 def _toy(spark, n=120):
@@ -27,7 +28,7 @@ def test_unknown_mode_raises(spark):
                                   "xgboost_balanced", "logreg_unbalanced", "majority_baseline"])
 def test_every_mode_fits_and_predicts_known_labels(spark, mode):
     df = _toy(spark)
-    fitted = M.train_model(mode, df, FAST)
+    fitted = M.train_model(mode, df, FEW if "hist" in mode else FAST)
     preds = fitted.predict(df).select("y_pred").distinct().collect()
     assert {r.y_pred for r in preds} <= set(P.CLASS_ORDER)
 
@@ -46,16 +47,37 @@ def test_run_all_models_ranks_each_mode_once(spark):
     assert [r.model_mode for r in ranked if r["rank"] == 1] == ["logreg_balanced"]
 
 
-def test_model_persistence_roundtrip(spark, tmp_path):
+@pytest.mark.parametrize("mode", ["logreg_balanced", "hierarchical_hist_gradient_boosting", "majority_baseline"])
+def test_saved_models_predict_the_same(spark, tmp_path, mode):
     df = _toy(spark)
-    fitted = M.train_model("logreg_balanced", df, FAST)
-    fitted.save(str(tmp_path / "m"))
-    loaded = M.load_model(str(tmp_path / "m"), "logreg_balanced", fitted.columns)
-    report, pairs = TR.score_batch(loaded, df, str(tmp_path / "pred"))
-    assert report["core_metrics"]["balanced_accuracy"] > 0.9
+    fitted = M.train_model(mode, df, FEW)
+    path = (tmp_path / "m").as_uri()
+    fitted.save(path)
+    loaded = M.load_model(path)
+    rows = lambda m: sorted((r.row_id, r.y_pred) for r in m.predict(df).collect())
+    assert rows(loaded) == rows(fitted)
+    assert loaded.columns == fitted.columns
+    report, _ = TR.score_batch(loaded, df, str(tmp_path / "pred"))
     assert set(report["per_class"]) == set(P.CLASS_ORDER)
 
 
+def test_parameters_reach_the_estimators(spark):
+    df = _toy(spark)
+    assert M.train_model("hist_gradient_boosting", df, replace(FEW, validation_tol=0.0)
+                         ).parts[0].stages[1].getOrDefault("maxIter") == 3
+    xgb = M.train_model("xgboost_balanced", df, replace(FAST, rf_n_estimators=2, rf_max_depth=2)).parts[0].stages[1]
+    assert xgb.getOrDefault("maxIter") == 2 and xgb.getOrDefault("maxDepth") == 2
+    with pytest.raises(ValueError):
+        M.train_model("random_forest", df, replace(FAST, rf_max_depth=31))
+    with pytest.raises(ValueError):
+        TR._config_for({"hgb_l2_regularization": 0.1}, FAST)
+
+
+def test_report_files_take_their_mode_from_the_stem(spark, tmp_path):
+    (tmp_path / "quick_run.json").write_text('{"core_metrics": {"balanced_accuracy": 0.5}}')
+    assert TR.read_report(spark, str(tmp_path)).first().model_mode == "quick_run"
+
+
 def test_draw_parameters_is_seeded_and_distinct():
     a = TR.draw_parameters(TR.RF_SEARCH_SPACE, 30, 42)
     b = TR.draw_parameters(TR.RF_SEARCH_SPACE, 30, 42)
@@ -65,9 +87,15 @@ def test_draw_parameters_is_seeded_and_distinct():
     assert len(TR.draw_parameters(TR.RF_SEARCH_SPACE, 1000, 1)) == 128
 
 
-def test_honest_cv_rebuilds_per_fold(spark):
-    import __spark_entry__  # noqa: F401  (session defaults)
-    from pushback.plans import catalog as C
-    train, _ = C._split(spark, "/root/testdata/sf0.001")
-    res = TR.honest_cv("logreg_balanced", train, replace(FAST, max_iter=10), k=2)
-    assert res["folds"] == 2 and 0.0 <= res["mean_score"] <= 1.0
+def test_folds_are_built_once_for_any_number_of_trials(spark, monkeypatch):
+    built = []
+
+    def matrices(train, test):  # the encodings have their own tests
+        built.append((train.count(), test.count()))
+        return train, test
+
+    monkeypatch.setattr(TR.FE, "build_feature_matrices", matrices)
+    df = _toy(spark)
+    report, top = TR.tune("logreg_balanced", df, df, {"max_iter": [1, 2, 5]}, n_iter=3, base=FAST, k=2)
+    assert built == [(60, 60), (60, 60), (120, 120)]
+    assert top.count() == 3 and report["best_params"]["max_iter"] in (1, 2, 5)
