@@ -28,12 +28,17 @@ def _materialised(spark: SparkSession, sf: str, name: str, build):
     Like the reference's files between stages, downstream queries read the
     written table instead of recomputing its lineage.
     """
-    key = (id(spark), sf, name)
+    key = (spark.sparkContext.applicationId, sf, name)
     if key not in _MATERIALISED:
         _MATERIALISED[key] = build()
     return _MATERIALISED[key]
 
 
+def forget_stages() -> None:
+    """Build stage tables anew, as after a change of the input."""
+    _MATERIALISED.clear()
+
+
 def flights_view(spark: SparkSession, sf: str) -> DataFrame:
     return fixture.flights(spark, sf)
 

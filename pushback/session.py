@@ -51,6 +51,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="pushback-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
