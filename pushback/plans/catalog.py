@@ -80,8 +80,9 @@ def _on_enriched(op):
 
 
 def unknown_codes(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.unknown_codes(enriched(spark, sf), fixture.airlines(spark, sf),
-                                 fixture.airports(spark, sf))
+    """C4, with an airline dimension that lacks the codes from 'M' on, which it finds."""
+    listed = fixture.airlines(spark, sf).filter(F.col("IATA_CODE") < "M")
+    return quality.unknown_codes(enriched(spark, sf), listed, fixture.airports(spark, sf))
 
 
 def validation_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -471,8 +472,10 @@ from pushback.sources import weather_json as WJ  # noqa: E402
 
 
 def stations_to_load(spark: SparkSession, sf: str) -> DataFrame:
-    return WJ.stations_to_load(fixture.flights(spark, sf), fixture.airports(spark, sf),
-                               fixture.weather_hourly(spark, sf))
+    """A5, with the weather of one station not loaded yet, which is what it finds."""
+    gap = fixture.airport_code(F.lit(fixture.STATION_NOT_LOADED))
+    loaded = fixture.weather_hourly(spark, sf).filter(F.col("station") != gap)
+    return WJ.stations_to_load(fixture.flights(spark, sf), fixture.airports(spark, sf), loaded)
 
 
 def weather_payload_roundtrip(spark: SparkSession, sf: str) -> DataFrame:

@@ -67,7 +67,8 @@ SQL.update({
     "cardinality": O.over_enriched(Q.cardinality(_E, _EC)),
     "top_values": O.over_enriched(Q.top_values(_E, _EC)),
     "describe": O.over_enriched(Q.statistics(_E, _EC)),
-    "unknown_codes": O.over_enriched(Q.unknown_codes(_E), **_DIMS),
+    "unknown_codes": O.over_enriched(Q.unknown_codes(_E),
+                                     airlines=f"SELECT * FROM ({O.AIRLINES}) WHERE IATA_CODE < 'M'"),
     "validation_report": O.over_enriched(Q.validation_report(_E, _EC), **_DIMS),
     "post_clean_validation": over_cleaned(Q.post_clean("cleaned", _CLEAN_COLS)),
 })
@@ -141,6 +142,6 @@ SQL.update({
                                       UNION ALL SELECT DESTINATION_AIRPORT FROM flights)
         WHERE station IS NOT NULL
           AND station IN (SELECT IATA_CODE FROM airports WHERE LATITUDE IS NOT NULL AND LONGITUDE IS NOT NULL)
-          AND station NOT IN (SELECT station FROM weather)""", **O.BASE_VIEWS),
+          AND station NOT IN (SELECT station FROM weather WHERE station <> 'NVX')""", **O.BASE_VIEWS),
     "weather_payload_roundtrip": O.WEATHER,
 })

@@ -20,10 +20,8 @@ from pushback.sources.tables import read_table
 # fixture values: region number -> time zone of its airports
 REGION_TIME_ZONES = ["America/New_York", "America/Chicago", "America/Denver",
                      "America/Los_Angeles", "Pacific/Honolulu"]
-# nation whose airport has no coordinates, and station whose weather is not loaded
-NATION_WITHOUT_COORDS = 23
-STATION_NOT_LOADED = 21
-UNLISTED_NATION = 24        # its airport is missing from the airport dimension
+NATION_WITHOUT_COORDS = 23  # its airport has no coordinates
+STATION_NOT_LOADED = 21     # the gap that the search for stations to load finds
 NUMERIC_DEST_EVERY = 50     # every 50th part number flies to a numeric FAA id
 
 
@@ -149,13 +147,11 @@ def _value_of(event_type: str, scale: float) -> Column:
 def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather per station from ``events``: (station, month, day, hour, 11 fields).
 
-    Station = airport of nation ``user_id % 25``; one station is left out, as if
-    its file had not been fetched yet. Times are Eastern wall-clock hours.
+    Station = airport of nation ``user_id % 25``. Times are Eastern wall-clock hours.
     """
     e = read_table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value", "props")
     k = F.get_json_object("props", "$.k").cast("int")
     grouped = (e.withColumn("station_no", (F.col("user_id") % 25).cast("int"))
-                .filter(F.col("station_no") != STATION_NOT_LOADED)
                 .groupBy(airport_code(F.col("station_no")).alias("station"),
                          F.month("ts").cast("int").alias("month"),
                          F.dayofmonth("ts").cast("int").alias("day"),
@@ -181,10 +177,9 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airport dimension (IATA_CODE, LATITUDE, LONGITUDE, TZ) from ``nation``.
 
     One nation has no coordinates, so its zone is unknown and its weather is
-    never fetched; another is not listed at all.
+    never fetched. Flights to numeric ids go to airports that are not listed.
     """
-    n = (read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-         .filter(F.col("n_nationkey") != UNLISTED_NATION))
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     tz = F.element_at(F.array(*[F.lit(z) for z in REGION_TIME_ZONES]),
                       (F.col("n_regionkey") % len(REGION_TIME_ZONES) + 1).cast("int"))
     no_coords = F.col("n_nationkey") == NATION_WITHOUT_COORDS
@@ -197,7 +192,6 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Airline dimension: market segments sorting before 'M' (one segment is unlisted)."""
+    """Airline dimension: the market segments."""
     c = read_table(spark, sf_dir, "customer")
-    return (c.filter(F.col("c_mktsegment") < "M")
-             .select(F.col("c_mktsegment").alias("IATA_CODE")).distinct())
+    return c.select(F.col("c_mktsegment").alias("IATA_CODE")).distinct()
