@@ -94,9 +94,9 @@ FLIGHTS = f"""
 """
 
 WEATHER = f"""
-  SELECT {_code('user_id % 25')} AS station,
-    CAST(month(ts) AS INTEGER) AS "month", CAST(day(ts) AS INTEGER) AS "day",
-    CAST(hour(ts) AS INTEGER) AS "hour",
+  SELECT station, CAST(m AS INTEGER) AS "month", CAST(week * 4 - residue AS INTEGER) AS "day", "hour",
+    {", ".join(P.WEATHER_FIELDS)}
+  FROM (SELECT {_code('user_id % 25')} AS station, user_id % 4 AS residue, CAST(hour(ts) AS INTEGER) AS "hour",
     round(avg(value) / 10 - 5, 6) AS temperature_c,
     round(coalesce(sum(value) FILTER (WHERE event_type = 'click') / 20.0, 0.0), 6) AS precipitation_mm,
     round(coalesce(sum(value) FILTER (WHERE event_type = 'purchase') / 25.0, 0.0), 6) AS rain_mm,
@@ -109,7 +109,7 @@ WEATHER = f"""
     round(avg(CAST(json_extract_string(props, '$.k') AS INTEGER)), 6) AS relative_humidity_pct,
     round(avg(value) / 5 + 1000, 6) AS pressure_msl_hpa
   FROM events
-  GROUP BY 1, 2, 3, 4
+  GROUP BY 1, 2, 3) observed, range(1, 13) months(m), range(1, 8) weeks(week)
 """
 
 AIRPORTS = f"""
@@ -151,7 +151,7 @@ _WX_FIELDS = ", ".join(P.WEATHER_FIELDS)
 _O_FIELDS = ", ".join(f"wo.{c} AS {c}" for c in P.WEATHER_FIELDS)
 _D_FIELDS = ", ".join(f"wd.{c} AS dest_{c}" for c in P.WEATHER_FIELDS)
 
-# H1 with the fixture's weather keys (day, hour): events cover January only.
+# H1 matches month, day and hour
 ENRICHED_BODY = f"""
   SELECT * EXCLUDE (o_ts, d_ts, otz, dtz, o_e, d_e) FROM (
     SELECT k.*, {_O_FIELDS}, {_D_FIELDS} FROM (
@@ -176,9 +176,9 @@ ENRICHED_BODY = f"""
       ) z
     ) k
     LEFT JOIN weather wo ON k.ORIGIN_AIRPORT = wo.station
-         AND day(k.o_e) = wo."day" AND hour(k.o_e) = wo."hour"
+         AND month(k.o_e) = wo."month" AND day(k.o_e) = wo."day" AND hour(k.o_e) = wo."hour"
     LEFT JOIN weather wd ON k.DESTINATION_AIRPORT = wd.station
-         AND day(k.d_e) = wd."day" AND hour(k.d_e) = wd."hour"
+         AND month(k.d_e) = wd."month" AND day(k.d_e) = wd."day" AND hour(k.d_e) = wd."hour"
   )
 """
 

@@ -15,10 +15,6 @@ from pushback.operators import cleaning, enrich, explore, quality
 from pushback.session import cut_lineage
 from pushback.sources import fixture
 
-# the fixture's weather covers one month, so it is matched on (day, hour)
-FIXTURE_TIME_KEYS = ("day", "hour")
-
-
 _MATERIALISED: dict = {}
 
 
@@ -51,7 +47,7 @@ def enriched(spark: SparkSession, sf: str) -> DataFrame:
     """H1 output, written once per session (the reference's flights_weather file)."""
     return _materialised(spark, sf, "enriched", lambda: cut_lineage(enrich.merge_weather(
         fixture.flights(spark, sf), fixture.weather_hourly(spark, sf),
-        fixture.airports(spark, sf), time_keys=FIXTURE_TIME_KEYS), "enriched"))
+        fixture.airports(spark, sf)), "enriched"))
 
 
 def cleaned(spark: SparkSession, sf: str) -> DataFrame:

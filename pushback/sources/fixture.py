@@ -148,15 +148,15 @@ def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly weather per station from ``events``: (station, month, day, hour, 11 fields).
 
     Station = airport of nation ``user_id % 25``. Times are Eastern wall-clock hours.
+    The events of a user's residue modulo 4 at an hour make the weather of that
+    hour on every fourth day (1 to 28) of each month.
     """
     e = read_table(spark, sf_dir, "events").select("ts", "user_id", "event_type", "value", "props")
     k = F.get_json_object("props", "$.k").cast("int")
-    grouped = (e.withColumn("station_no", (F.col("user_id") % 25).cast("int"))
-                .groupBy(airport_code(F.col("station_no")).alias("station"),
-                         F.month("ts").cast("int").alias("month"),
-                         F.dayofmonth("ts").cast("int").alias("day"),
+    grouped = (e.groupBy(airport_code((F.col("user_id") % 25).cast("int")).alias("station"),
+                         (F.col("user_id") % 4).cast("int").alias("residue"),
                          F.hour("ts").cast("int").alias("hour")))
-    return grouped.agg(
+    observed = grouped.agg(
         F.round(F.avg("value") / 10 - 5, 6).alias("temperature_c"),
         F.round(F.coalesce(_value_of("click", 20.0), F.lit(0.0)), 6).alias("precipitation_mm"),
         F.round(F.coalesce(_value_of("purchase", 25.0), F.lit(0.0)), 6).alias("rain_mm"),
@@ -171,6 +171,10 @@ def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.avg(k), 6).alias("relative_humidity_pct"),
         F.round(F.avg("value") / 5 + 1000, 6).alias("pressure_msl_hpa"),
     )
+    spread = (observed.withColumn("month", F.explode(F.sequence(F.lit(1), F.lit(12))))
+              .withColumn("week", F.explode(F.sequence(F.lit(1), F.lit(7)))))
+    return spread.select("station", "month", (F.col("week") * 4 - F.col("residue")).alias("day"), "hour",
+                         *P.WEATHER_FIELDS)
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
