@@ -19,7 +19,7 @@ from pushback import profile as P
 from pushback.functions.calendar import federal_holidays
 from pushback.functions.exprs import (departure_bank, departure_bank_code, hour_of_hhmm,
                                       joined_key, weather_intensity)
-from pushback.operators.joins import attach_key_slice, attach_stats, keyed_stats
+from pushback.operators.joins import MAX_BROADCAST_ROWS, attach_key_slice, attach_stats, keyed_stats
 from pushback.session import cut_lineage
 
 DEP_HOUR = "__dep_hour"
@@ -192,7 +192,8 @@ def add_smoothed_rates(train: DataFrame, test: DataFrame,
     label_only = train.select(*key_cols, *[e.alias(f"__y_{n}") for n, e in ind.items()])
     stats, small = keyed_stats(label_only, key_cols,
                                [F.count(F.lit(1)).alias("__n")]
-                               + [F.sum(f"__y_{n}").alias(f"__s_{n}") for n in ind])
+                               + [F.sum(f"__y_{n}").alias(f"__s_{n}") for n in ind],
+                               max_rows=MAX_BROADCAST_ROWS // len(classes))  # the training side has a row a class
     cnt = F.col("__n")
     test_side = stats.select("__key", "__value", *[
         ((F.col(f"__s_{n}") + prior[n] * m) / (cnt + m)).alias(n) for n in ind])
@@ -200,7 +201,6 @@ def add_smoothed_rates(train: DataFrame, test: DataFrame,
     train_side = stats.select("*", own).select("__key", "__value", "__own", *[
         ((F.col(f"__s_{n}") - F.col("__own").isin(*P.HISTORICAL_RATES[n]).cast("double")
           + prior[n] * m) / (cnt - 1 + m)).alias(n) for n in ind])
-    train_side, test_side = train_side.persist(), test_side.persist()
     for key, prefix in keys.items():
         renames = {n: f"{prefix}_{n}" for n in ind}
         tr_part = train_side.filter(F.col("__key") == key).drop("__key")

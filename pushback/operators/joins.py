@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pushback.session import cut_lineage
+
 # Dimension tables (airports, airlines, holidays) hold at most this many rows
 # before a broadcast is refused and the join is left to AQE / sort-merge.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 << 20
+_WIDTH = {"tinyint": 1, "boolean": 1, "smallint": 2, "int": 4, "float": 4, "date": 4}
+
+
+def row_bytes(df: DataFrame) -> int:
+    """Rough size of a row: fixed widths, 32 bytes for a key string, 256 for
+    anything nested."""
+    return sum(_WIDTH.get(t, 8 if t in ("bigint", "double", "timestamp") else 32 if t == "string" else 256)
+               for _, t in df.dtypes)
+
+
+def may_broadcast(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    return rows <= max_rows and rows * row_bytes(df) <= MAX_BROADCAST_BYTES
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -17,7 +32,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     shuffled size at runtime and picks broadcast or sort-merge itself.
     """
     n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if may_broadcast(df, n, max_rows) else df
 
 
 def attach_stats(df: DataFrame, stats: DataFrame, keys: list[str], null_safe: bool = False,
@@ -25,13 +40,13 @@ def attach_stats(df: DataFrame, stats: DataFrame, keys: list[str], null_safe: bo
     """Left-join a per-key statistics table back onto the rows.
 
     The statistics are an aggregate (one row per key, built with map-side
-    combining), persisted and counted once. Under ``max_rows`` they are
+    combining), written once and counted. Under ``max_rows`` they are
     broadcast, so the row table is never shuffled and a hot key costs
     nothing extra; above it the join is a sort-merge join whose skewed
     partitions AQE splits. ``null_safe`` matches NULL keys as one group.
     """
-    stats = stats.persist()
-    small = stats.count() <= max_rows
+    stats = cut_lineage(stats, "stats")
+    small = may_broadcast(stats, stats.count(), max_rows)
     if not null_safe:
         return df.join(F.broadcast(stats) if small else stats, keys, "left")
     renamed = stats.select(*[F.col(k).alias(f"__k_{k}") for k in keys],
@@ -49,16 +64,16 @@ def keyed_stats(df: DataFrame, keys: list[str], aggs: list, max_rows: int = MAX_
     """Per-value statistics for several single-column keys in one aggregate.
 
     Rows are unpivoted to (key_name, key_value) pairs — NULL values dropped —
-    and grouped once; the result is persisted, and the per-key row counts
+    and grouped once; the result is written, and the per-key row counts
     decide which slices may be broadcast. Returns (stats, {key: broadcastable}).
     """
     pairs = (df.select(*[F.col(k).cast("string").alias(k) for k in keys],
                        *[c for c in df.columns if c not in keys])
                .unpivot([c for c in df.columns if c not in keys], keys, "__key", "__value")
                .filter(F.col("__value").isNotNull()))
-    stats = pairs.groupBy("__key", "__value").agg(*aggs).persist()
+    stats = cut_lineage(pairs.groupBy("__key", "__value").agg(*aggs), "key_stats")
     sizes = {r["__key"]: r["n"] for r in stats.groupBy("__key").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return stats, {k: sizes.get(k, 0) <= max_rows for k in keys}
+    return stats, {k: may_broadcast(stats, sizes.get(k, 0), max_rows) for k in keys}
 
 
 def attach_key_slice(df: DataFrame, stats: DataFrame, key: str, small: bool) -> DataFrame:

@@ -322,7 +322,7 @@ def model_selection(spark: SparkSession, sf: str) -> DataFrame:
         row = core.unionByName(cost, allowMissingColumns=True).agg(
             *[F.max(c).alias(c) for c in RK.CORE + RK.COST]).withColumn("model_mode", F.lit(m))
         runs = row if runs is None else runs.unionByName(row)
-    runs = runs.persist()
+    runs = cut_lineage(runs, "runs")
     out = None
     for metric in P.SELECTION_METRICS:
         r = RK.selection_report(runs, metric).select("primary_metric", "rank", "model_mode",
