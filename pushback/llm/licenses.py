@@ -58,12 +58,10 @@ def line_matches(lines: DataFrame, notices: DataFrame) -> DataFrame:
     """
     own = lines.select("line", "n", F.explode(terms_of(F.col("line"))).alias("term"))
     theirs = notices.select("template", "license", F.explode(terms_of(F.col("line"))).alias("term"))
-    total = lines.agg(F.sum("n").alias("s")).crossJoin(notices.agg(F.count(F.lit(1)).alias("t"))).select(
-        (F.coalesce("s", F.lit(0)) + F.col("t")).alias("total"))
     df = (own.groupBy("line", "term").agg(F.max("n").alias("n")).select("term", "n")
           .unionByName(theirs.groupBy("template", "term").agg(F.lit(1).cast("bigint").alias("n")).select("term", "n"))
           .groupBy("term").agg(F.sum("n").alias("df")))
-    n_all = total.first()["total"]  # one number
+    n_all = (lines.agg(F.sum("n")).first()[0] or 0) + notices.count()  # one number
     idf = df.select("term", (F.log((F.lit(float(n_all)) + 1) / (F.col("df") + 1)) + 1).alias("idf"))
 
     def weights(rows: DataFrame, keys: list[str]) -> DataFrame:
