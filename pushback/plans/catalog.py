@@ -347,12 +347,11 @@ QUERIES.update({
 
 
 # ---- exploration -----------------------------------------------------------------------
-BOX_COLUMNS = ["DISTANCE", "SCHEDULED_TIME", "temperature_c", "wind_speed_kmh",
-               "dest_temperature_c", "precipitation_mm"]
-CORR_COLUMNS = ["DISTANCE", "SCHEDULED_TIME", "MONTH", "DAY_OF_WEEK", "departure_hour",
-                "scheduled_arrival_hour", "temperature_c", "precipitation_mm", "wind_speed_kmh",
-                "wind_gusts_kmh", "cloud_cover_pct", "pressure_msl_hpa", "dest_temperature_c",
-                "dest_wind_speed_kmh", "label_ordinal"]
+_PLAIN = ["SCHEDULED_TIME", "DISTANCE", "departure_hour", "scheduled_arrival_hour"]
+_MEASURED = [c for c in P.WEATHER_FIELDS if c not in ("wind_direction_deg", "weather_code")]
+BOX_COLUMNS = (_PLAIN + _MEASURED
+               + [P.DEST_PREFIX + c for c in _MEASURED if c not in ("rain_mm", "snowfall_cm")])
+CORR_COLUMNS = _PLAIN + _MEASURED + [P.DEST_PREFIX + c for c in _MEASURED] + ["label_ordinal"]
 
 
 def class_distribution(spark: SparkSession, sf: str) -> DataFrame:
