@@ -54,7 +54,7 @@ FLIGHTS = f"""
         CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS VARCHAR))) AS row_id,
     CAST(year(l_shipdate) AS INTEGER) AS "YEAR",
     CAST(month(l_shipdate) AS INTEGER) AS "MONTH",
-    CAST(day(l_shipdate) AS INTEGER) AS "DAY",
+    CASE WHEN l_partkey % 97 = 0 THEN 31 ELSE CAST(day(l_shipdate) AS INTEGER) END AS "DAY",
     CAST(isodow(l_shipdate) AS INTEGER) AS DAY_OF_WEEK,
     c_mktsegment AS AIRLINE,
     l_partkey AS FLIGHT_NUMBER,
@@ -70,7 +70,7 @@ FLIGHTS = f"""
     CAST({_SCHED} AS DOUBLE) AS SCHEDULED_TIME,
     CASE WHEN is_cancelled OR is_diverted THEN NULL ELSE CAST({_ELAPSED} AS DOUBLE) END AS ELAPSED_TIME,
     CASE WHEN is_cancelled OR is_diverted THEN NULL ELSE CAST({_AIR} AS DOUBLE) END AS AIR_TIME,
-    l_extendedprice / 100 AS DISTANCE,
+    CASE WHEN l_partkey % 89 = 0 THEN -l_extendedprice ELSE l_extendedprice END / 100 AS DISTANCE,
     CASE WHEN is_cancelled OR is_diverted THEN NULL ELSE {_hhmm(_ON)} END AS WHEELS_ON,
     CASE WHEN is_cancelled OR is_diverted THEN NULL ELSE CAST({_TAXI_IN} AS DOUBLE) END AS TAXI_IN,
     {_hhmm(f'{_DEP_MIN} + CAST({_SCHED} AS BIGINT)')} AS SCHEDULED_ARRIVAL,

@@ -22,6 +22,8 @@ REGION_TIME_ZONES = ["America/New_York", "America/Chicago", "America/Denver",
                      "America/Los_Angeles", "Pacific/Honolulu"]
 NATION_WITHOUT_COORDS = 23  # its airport has no coordinates
 STATION_NOT_LOADED = 21     # the gap that the search for stations to load finds
+LAST_DAY_EVERY = 97         # every 97th part number leaves on a 31st, of whatever month
+NEGATIVE_EVERY = 89         # every 89th has a distance out of range
 NUMERIC_DEST_EVERY = 50     # every 50th part number flies to a numeric FAA id
 
 
@@ -105,7 +107,8 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row_id",
         F.year("l_shipdate").cast("int").alias("YEAR"),
         F.month("l_shipdate").cast("int").alias("MONTH"),
-        F.dayofmonth("l_shipdate").cast("int").alias("DAY"),
+        F.when(c("l_partkey") % LAST_DAY_EVERY == 0, 31)
+         .otherwise(F.dayofmonth("l_shipdate")).cast("int").alias("DAY"),
         (F.weekday("l_shipdate") + 1).cast("int").alias("DAY_OF_WEEK"),
         c("c_mktsegment").alias("AIRLINE"),
         c("l_partkey").alias("FLIGHT_NUMBER"),
@@ -123,7 +126,8 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
         c("_sched").cast("double").alias("SCHEDULED_TIME"),
         none_if(gone, c("_elapsed"), "double").alias("ELAPSED_TIME"),
         none_if(gone, c("_air"), "double").alias("AIR_TIME"),
-        (c("l_extendedprice") / 100).alias("DISTANCE"),
+        (F.when(c("l_partkey") % NEGATIVE_EVERY == 0, -c("l_extendedprice"))
+         .otherwise(c("l_extendedprice")) / 100).alias("DISTANCE"),
         none_if(gone, hhmm_of_minutes(c("_on")), "int").alias("WHEELS_ON"),
         none_if(gone, c("_taxi_in"), "double").alias("TAXI_IN"),
         hhmm_of_minutes(c("_dep_min") + c("_sched").cast("bigint")).alias("SCHEDULED_ARRIVAL"),
