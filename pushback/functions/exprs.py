@@ -17,10 +17,6 @@ def hour_of_hhmm(c: str | Column) -> Column:
     return F.floor(col(c) / 100).cast("int")
 
 
-def minutes_of_hhmm(c: str | Column) -> Column:
-    return (hour_of_hhmm(c) * 60 + (col(c) % 100)).cast("int")
-
-
 def hhmm_of_minutes(m: Column) -> Column:
     """Minutes after midnight (any integer) to HHMM within one day."""
     mm = F.pmod(m, F.lit(1440))
@@ -116,12 +112,3 @@ def joined_key(*parts: str | Column) -> Column:
             cols.append(F.lit("_"))
         cols.append(col(p).cast("string"))
     return F.concat(*cols)
-
-
-def safe_name(c: str | Column) -> Column:
-    """Each run of characters outside [a-zA-Z0-9_-] becomes '_'."""
-    return F.regexp_replace(col(c), "[^a-zA-Z0-9_-]+", "_")
-
-
-def round6(c: str | Column) -> Column:
-    return F.round(col(c).cast("double"), 6)
