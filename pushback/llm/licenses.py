@@ -17,9 +17,12 @@ files are each scanned. Empty tables give no row.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pushback.operators.joins import broadcast_if_small
+from pushback.session import cut_lineage
+
 LEAST = 0.8
 LICENCE_WORD = "(?i)licen[sc]|copyright|spdx|public domain|all rights reserved|redistribution"
 LICENCE_FILE = "(?i)^(licen[sc]e|copying|copyright|notice|unlicense)([.-].*)?$"
@@ -96,9 +99,9 @@ def scan(files: DataFrame, *, id_col: str, path_col: str = "path", text_col: str
     spark = files.sparkSession
     path = F.coalesce(F.col(path_col), F.lit(""))
     lines = F.filter(F.split(F.coalesce(F.col(text_col), F.lit("")), "\n"), lambda x: F.trim(x) != "")
-    base = files.select(
+    base = cut_lineage(files.select(  # texts are read once; only licence lines go on
         F.col(id_col).alias("_id"), path.alias("path"),
-        F.size(lines).alias("n_lines"), F.filter(lines, lambda x: x.rlike(LICENCE_WORD)).alias("hits"))
+        F.size(lines).alias("n_lines"), F.filter(lines, lambda x: x.rlike(LICENCE_WORD)).alias("hits")), "licence_lines")
     held = base.where(F.size("hits") > 0).select(
         F.xxhash64("_id", "path").alias("_f"), "_id", "path", "n_lines",
         F.explode(F.transform("hits", lambda x: F.trim(x))).alias("line"))
@@ -124,7 +127,7 @@ def scan(files: DataFrame, *, id_col: str, path_col: str = "path", text_col: str
             .select("d", F.col("m.dir").alias("from_dir"), F.col("m.dir_license").alias("dir_license")))
     out = (base.select("_id", "path", directory.alias("d"))
            .join(own.drop("mostly"), F.col("_id").eqNullSafe(F.col("_oid")) & (F.col("path") == F.col("_opath")), "left")
-           .join(near, "d", "left"))
+           .join(broadcast_if_small(near), "d", "left"))
     inherited = F.col("own_license").isNull() & F.col("dir_license").isNotNull()
     return out.select(
         F.col("_id").alias(id_col), "path", "own_license", F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
