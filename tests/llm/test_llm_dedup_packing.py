@@ -1,5 +1,6 @@
 """SimHash, packing and BPE against brute force, and odd inputs."""
 
+import re
 import zlib
 from itertools import combinations
 
@@ -24,7 +25,7 @@ def frame(spark, rows):
 
 def brute_fingerprint(text):
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", low) if w]
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", low) if w]
     if not words:
         return 0
     grams = [" ".join(words[i:i + 4]) for i in range(max(1, len(words) - 3))]

@@ -7,12 +7,13 @@ import zlib
 from collections import Counter, defaultdict
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pushback.llm import extract, ledger, licenses, ppm, quality, queries, simhash, sketch, stages, toxicity
-from pushback.llm.common import id_hash
+from pushback.llm.common import LOWER_AZ, id_hash
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, path string"
@@ -30,7 +31,7 @@ ROWS = [(1, "The cat sat. The cat ran"), (2, None), (3, ""), (4, "a\x00b ÄÖ th
 # prediction by partial matching
 
 def brute_ppm(rows, train):
-    lines = [b" ".join((t or "").encode().translate(ppm.normal_words.__globals__["LOWER_AZ"]).split()) + b"\n"
+    lines = [b" ".join((t or "").encode().translate(LOWER_AZ).split()) + b"\n"
              for _, t in rows]
     counts = [defaultdict(Counter) for _ in range(ppm.ORDER + 1)]
     pad = b"\n" * ppm.ORDER
@@ -81,7 +82,6 @@ def test_ppm_matches_brute_force(spark):
 def test_ppm_chances_sum_to_one():
     lines, _ = brute_ppm(ROWS, lambda i: True)
     strings, at, sizes = ppm.byte_strings(lines)
-    import numpy as np
     order = np.argsort(strings)
     counts = np.bincount(at)[order].astype(float)
     trie = ppm.levels(strings[order], counts, range(ppm.ORDER + 1), [])
@@ -218,7 +218,7 @@ def test_toxicity_learns_marks_and_reads_noisy_spellings():
     assert all((s >= 0.3) == bool(y) for s, (_, _, y) in zip(scores, test))
     clean, bad = model.scores(["thon erly oued", "thon erly oued m0r0n"])
     assert clean < 0.3 <= bad
-    for w in ("m.o.r.o.n", "moooooron", "m o r o n", "M0RON!!", "m0r*n"[:3] + "on", "vequille", "v3quoir"):
+    for w in ("m.o.r.o.n", "moooooron", "m o r o n", "M0RON!!", "m0ron", "vequille", "v3quoir"):
         assert model.scores([f"thon {w} erly"])[0] >= 0.3, w
     assert model.scores([None, "", "***", "1234 5678"]) == pytest.approx([0.02] * 4)
 
