@@ -38,6 +38,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    make_importable(spark)
     return spark
 
 
@@ -60,6 +61,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def make_importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    On a cluster whose nodes lack that path, ship it with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [x for x in environment.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` as a Parquet table in the shared checkpoint folder and read it back.
 
