@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from pushback.llm import packing, quality, simhash, toxicity
 from pushback.llm.common import id_hash, table
+from pushback.session import make_importable
 
 SCORE = "_stage_score"
 
@@ -26,6 +27,7 @@ def quality_train():
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score is under the threshold."""
+    make_importable(spark)
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"), train=toxicity_train())
     scored = toxicity.score_documents(docs, model, score_col=SCORE)
     return scored.where(F.col(SCORE) < toxicity.THRESHOLD).drop(SCORE)
@@ -33,6 +35,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose quality score reaches the threshold."""
+    make_importable(spark)
     model = quality.trained(docs, table(spark, sf_dir, "labels"), train=quality_train())
     scored = quality.score_documents(docs, model, score_col=SCORE)
     return scored.where(F.col(SCORE) >= quality.THRESHOLD).drop(SCORE)
@@ -40,11 +43,13 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each near-duplicate group."""
+    make_importable(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their sequence and offset."""
+    make_importable(spark)
     cut = packing.pieces(docs, path=public_tokenizers.path("byte_bpe_50k.json"))
     cut = cut.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens")
     return packing.pack(cut, order=["doc_id", "start", "ids_crc32"])
