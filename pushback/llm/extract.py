@@ -7,8 +7,11 @@ its link text. Ratios are smoothed along the page by a window over
 neighbouring blocks, weighted by how much of their paths agree, and fused with
 the plain ratio. Paths under the threshold (the mean less the spread of the
 page's ratios over text) are dropped. Where the page marks its article
-(``article``, ``main`` or such a role), the zone tells what is content and
-every block in it stays; ratios then decide among zones. Menus, headers,
+(``article``, ``main`` or such a role), ratios are summed by zone and decide
+among the zones and the text outside: outside text goes where a zone holds as
+much, and a zone goes that holds under a third of what the best holds. The
+threshold is then taken over the chosen blocks; in an article it is a tenth,
+and text without links below the parent of most kept text stays. Menus, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts and styles are
 never content, by element or by a word of class, id or role.
 
@@ -52,6 +55,10 @@ NOT_CONTENT = set("""ad ads adbox adslot adsense advert adverts advertisement ad
     share sharing social login signup search form pagination pager toolbar complementary contentinfo""".split())
 ZONES = {"article", "main"}
 TITLES = {"header", "masthead"}
+#: Part of the best zone's text, weighted by ratio, that another zone needs.
+ZONE_PART = 1 / 3
+#: Part of the threshold that a path in an article needs.
+ARTICLE_PART = 0.1
 WINDOW = 2
 PUNCTUATION_WEIGHT = 4.0
 
@@ -61,7 +68,8 @@ class Block:
     path: tuple[str, ...]
     text: str
     link_chars: int
-    zone: bool
+    zones: tuple[int, ...]  # zones around it, outermost first
+    article: bool
 
 
 def _attributes(raw: str) -> tuple[set[str], set[str], bool]:
@@ -85,9 +93,9 @@ def _attributes(raw: str) -> tuple[set[str], set[str], bool]:
 def blocks(page: str) -> list[Block]:
     """Blocks of a page that lie in no excluded element, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, bool]] = [("", False, False)]  # name, excluded, zone
+    stack: list[tuple[str, bool, tuple[int, ...], bool]] = [("", False, (), False)]  # name, excluded, zones, article
     parts: list[str] = []
-    link_chars = links = at = 0
+    link_chars = links = at = n_zones = 0
 
     def flush() -> None:
         nonlocal link_chars
@@ -95,7 +103,7 @@ def blocks(page: str) -> list[Block]:
             text = " ".join("".join(parts).split())
             if text and not stack[-1][1]:
                 path = tuple(s[0] for s in stack[1:] if s[0] in BLOCK)
-                out.append(Block(path, text, link_chars, stack[-1][2]))
+                out.append(Block(path, text, link_chars, *stack[-1][2:]))
             parts.clear()
         link_chars = 0
 
@@ -157,7 +165,8 @@ def blocks(page: str) -> list[Block]:
         if name in VOID or m[3].rstrip().endswith("/") and name not in BLOCK:
             continue
         words, roles, hidden = _attributes(m[3]) if m[3].strip() else (set(), set(), False)
-        zone = stack[-1][2] or name in ZONES or bool(roles & ZONES)
+        zones = stack[-1][2]
+        article = stack[-1][3] or name == "article" or "article" in roles
         # an article's own header holds its title
         not_content, outside = (NOT_CONTENT - TITLES, OUTSIDE - TITLES) if stack[-1][2] else (NOT_CONTENT, OUTSIDE)
         named = bool((words | roles) & not_content) and name not in ("html", "body", *ZONES)
@@ -165,7 +174,10 @@ def blocks(page: str) -> list[Block]:
         if not stack[-1][1] and bad:
             flush()
         links += name == "a"
-        stack.append((name, stack[-1][1] or bad, zone))
+        if name in ZONES or roles & ZONES:
+            n_zones += 1
+            zones = (*zones, n_zones)
+        stack.append((name, stack[-1][1] or bad, zones, article))
     rest = page[at:]
     cut = re.search(r"<[/!?a-zA-Z][^<]*$", rest)  # a tag that the page's end cut off
     add(rest[:cut.start()] if cut else rest)
@@ -174,17 +186,17 @@ def blocks(page: str) -> list[Block]:
 
 
 def path_ratios(found: list[Block]) -> list[float]:
-    """Smoothed and fused tag-path ratio of each block."""
+    """Smoothed and fused tag-path ratio of each block; zones have paths of their own."""
     total: dict[tuple, list[float]] = {}
     for b in found:
-        t = total.setdefault(b.path, [0.0, 0.0, 0.0, 0.0])
+        t = total.setdefault((b.zones, b.path), [0.0, 0.0, 0.0, 0.0])
         t[0] += len(b.text)
         t[1] += len(PUNCTUATION.findall(b.text))
         t[2] += b.link_chars
         t[3] += 1
     plain = []
     for b in found:
-        chars, points, links, leaves = total[b.path]
+        chars, points, links, leaves = total[b.zones, b.path]
         plain.append((chars + PUNCTUATION_WEIGHT * points) / leaves * max(0.0, 1 - links / max(chars, 1.0)))
     fused = []
     for i, b in enumerate(found):
@@ -199,29 +211,61 @@ def path_ratios(found: list[Block]) -> list[float]:
     return fused
 
 
+def chosen(found: list[Block], ratios: list[float], own: list[int], depth: int = 0) -> list[int]:
+    """Those of the blocks ``own`` that lie where most text, weighted by ratio, is."""
+    groups: dict[int, list[int]] = {}
+    for i in own:
+        zones = found[i].zones
+        groups.setdefault(zones[depth] if len(zones) > depth else 0, []).append(i)
+    if list(groups) == [0]:
+        return own
+    weight = {z: sum(ratios[i] * len(found[i].text) for i in group) for z, group in groups.items()}
+    outside = weight.pop(0, 0.0)
+    best = max(weight.values())
+    # beside zones in a zone, the rest of it is left to the threshold
+    out = groups.get(0, []) if depth or outside > best else []
+    for z, w in weight.items():
+        if w >= ZONE_PART * max(best, outside):
+            out = out + chosen(found, ratios, groups[z], depth + 1)
+    return sorted(out)
+
+
 def content(found: list[Block]) -> list[Block]:
-    """Blocks of the content paths; with a marked article, its whole zone."""
+    """Blocks of the content paths."""
     if not found:
         return []
-    if any(b.zone for b in found):
-        return [b for b in found if b.zone]
     ratios = path_ratios(found)
+    picked = chosen(found, ratios, list(range(len(found))))
+    found, ratios = [found[i] for i in picked], [ratios[i] for i in picked]
     chars = sum(len(b.text) for b in found)
     mean = sum(r * len(b.text) for r, b in zip(ratios, found)) / chars
     spread = math.sqrt(sum((r - mean) ** 2 * len(b.text) for r, b in zip(ratios, found)) / chars)
     least = max(0.0, mean - spread) * 0.5
     best: dict[tuple, float] = {}
     for b, r in zip(found, ratios):
-        best[b.path] = max(best.get(b.path, 0.0), r)
-    kept = {p for p, r in best.items() if r > 0 and r >= least}
+        key = b.zones, b.path
+        best[key] = max(best.get(key, 0.0), r)
+    kept = {(b.zones, b.path) for b in found
+            if (r := best[b.zones, b.path]) > 0 and r >= least * (ARTICLE_PART if b.article else 1)}
     # headings and the like beside kept paths: siblings under the parent of most kept text
-    held: dict[tuple, int] = {}
+    held: dict[tuple, dict[tuple, int]] = {}
     for b in found:
-        if b.path in kept:
-            held[b.path[:-1]] = held.get(b.path[:-1], 0) + len(b.text)
-    parent = max(held, key=held.get) if held else None
-    return [b for b in found if b.path in kept
-            or b.path[:-1] == parent and b.path[-1:] and b.link_chars * 2 < len(b.text)]
+        if (b.zones, b.path) in kept:
+            own = held.setdefault(b.zones, {})
+            own[b.path[:-1]] = own.get(b.path[:-1], 0) + len(b.text)
+    parents = {z: max(own, key=own.get) for z, own in held.items()}
+
+    def beside(b: Block) -> bool:
+        parent = parents.get(b.zones)
+        if b.link_chars * 2 >= len(b.text):
+            return False
+        if b.zones and b.path[-1:] == ("h1",):  # the title of a zone
+            return True
+        # in a zone also lists, tables and quotations among the siblings
+        return parent is not None and len(b.path) > len(parent) and b.path[:len(parent)] == parent and (
+            bool(b.zones) or len(b.path) == len(parent) + 1)
+
+    return [b for b in found if (b.zones, b.path) in kept or beside(b)]
 
 
 def main_text(page: str | None) -> str:

@@ -151,6 +151,30 @@ def test_extracts_whole_cut_off_page():
     assert extract.main_text("<article><p>a < b and 1 <2</p></article>") == "a < b and 1 <2"
 
 
+LONG = ["The river rose, slowly at first, and then it took the bridge, the mill and both roads.",
+        "Nobody had seen it so high; the old marks, cut in stone, were all under water.",
+        "By noon, people had moved to the hill, with carts, dogs and what they could carry."]
+STORY = "<h1>Flood</h1>" + "".join(f"<p>{x}</p>" for x in LONG)
+CARD = "<article><p>Sun, rain. Read on.</p></article>"
+
+
+@pytest.mark.parametrize("body", [
+    f"{CARD}<div>{STORY}</div>",  # the zone is a teaser
+    f"<article>{STORY}</article>{CARD}{CARD}",
+    f"<main><article>{STORY}</article>{CARD}{CARD}</main>",
+    f"<main><h1>Flood</h1><article>{STORY[14:]}</article><ul><li><a href=x>One</a></li><li><a href=y>Two</a></li></ul></main>",
+    f"<main><div>{STORY}</div><div>Go up</div><ul><li><a href=x>One</a></li><li><a href=y>Two</a></li></ul></main>"])
+def test_ratios_choose_among_zones(body):
+    assert extract.main_text(f"<body>{body}</body>") == "\n".join(["Flood", *LONG])
+
+
+def test_zones_of_like_size_and_lists_stay():
+    posts = [f"<article><p>{x}</p></article>" for x in LONG]
+    assert extract.main_text("<body>" + "".join(posts)) == "\n".join(LONG)
+    listed = "<article>" + STORY + "<ul><li>one</li><li>two</li></ul><section><h2>On</h2><p>End.</p></section></article>"
+    assert extract.main_text(listed) == "\n".join(["Flood", *LONG, "one", "two", "On", "End."])
+
+
 def test_extract_odd_pages(spark):
     pages = spark.createDataFrame([(1, "u", None, "x"), (2, None, "", "x"), (3, "u", "plain text only", "x"),
                                    (3, "u", "<script>never ends", "x"), (None, "u", "<p>" * 3000 + "deep", "x")],
