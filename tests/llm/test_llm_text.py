@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from pushback.llm import extract, ledger, licenses, ppm, quality, queries, simhash, sketch, stages, toxicity
 from pushback.llm.common import LOWER_AZ, id_hash
+from pushback.llm.licence_texts import block_texts
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, path string"
@@ -305,6 +306,34 @@ def test_licences_own_and_inherited(spark):
     assert licenses.scan(files.limit(0), id_col="doc_id").count() == 0
 
 
+def test_whole_licence_texts_and_headers(spark):
+    texts = dict(reversed(block_texts()))  # the first of each name
+    longest = dict(sorted(block_texts(), key=lambda x: len(x[1])))
+    holder = "Copyright (c) 2020 The authors\n\n"
+    gpl = "\n".join("# " + x for x in texts["GPL-3.0"].split("\n"))
+    files = {"a/one.txt": "The MIT text\n\n" + holder + texts["MIT"], "a/code.py": "x = 1\n" * 9,
+             "b/two": holder + texts["ISC"], "b/code.py": "y = 2", "c/x.py": f"#!/bin/sh\n# {holder}{gpl}\nimport os\n" + "z = 3\n" * 40,
+             "d/x.c": "/* " + holder + texts["BSD-2-Clause"] + " */\nint main() {}\n" + "int x;\n" * 40,
+             "e/x.c": "A tool.\n\n" + texts["Apache-2.0"] + "\n\n" + "some words of the code and more of it\n" * 9,
+             "f/COPYING": longest["GPL-3.0"], "f/deep/x": "words", "g/COPYING": longest["AGPL-3.0"],
+             "h/prose": "the software is, of course, free for any person and without any of the usual conditions\n" * 5}
+    rows = [(i, p, t) for i, (p, t) in enumerate(files.items())]
+    got = {r["path"]: (r["license"], r["origin"]) for r in licenses.scan(
+        spark.createDataFrame([*rows, rows[0]], "doc_id long, path string, text string"), id_col="doc_id").collect()}
+    assert got == {
+        "a/one.txt": ("MIT", "own"), "a/code.py": ("MIT", "inherited"), "b/two": ("ISC", "own"),
+        "b/code.py": ("ISC", "inherited"), "c/x.py": ("GPL-3.0", "own"), "d/x.c": ("BSD-2-Clause", "own"),
+        "e/x.c": ("Apache-2.0", "own"), "f/COPYING": ("GPL-3.0", "own"), "f/deep/x": ("GPL-3.0", "inherited"),
+        "g/COPYING": ("AGPL-3.0", "own"), "h/prose": (None, "none")}
+
+
+def test_needed_terms_lose_no_match():
+    rows, _, _ = licenses.block_vectors(block_texts())
+    need = set(licenses.needed_terms(rows, licenses.LEAST))
+    for i in {r[0] for r in rows}:
+        assert sum(w * w for j, _, term, w in rows if j == i and term not in need) < licenses.LEAST ** 2
+
+
 # queries and pipeline
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
