@@ -248,6 +248,19 @@ def test_toxicity_learns_marks_and_reads_noisy_spellings():
     assert model.scores([None, "", "***", "1234 5678"]) == pytest.approx([0.02] * 4)
 
 
+def test_toxicity_reads_spaced_words_beside_short_ones_and_symbols_at_the_ends():
+    model = toxicity.fit([(t, y) for _, t, y in toxic_rows(400)])
+    for w in ("a m o r o n", "m o r o n s a", "mo ro n", "m or o n.", "a mo r on I", "i m 0 r 0 n", "M. O. R. O. N.",
+              "x " * 40 + "m o r o n" + " y" * 40, "m0ron!", "(moron!"):
+        assert model.scores([f"thon {w} erly"])[0] >= 0.3, w
+    assert model.scores(["thon a b c erly to be or no"])[0] < 0.3
+    model = toxicity.Model({"=trash": 0.9, "=clown": 0.9, "=ass": 0.9, "=scumbo": 0.9}, toxicity.fit_letters(
+        ["trash", "clown", "ass", "scumbo", "class", "strand"] * 9))
+    for w in ("+rash", "(lown", "a$$", "'a$$!'", "\"+rash!\"", "$cumbo", "a $ $", "+ r a s h"):
+        assert model.scores([f"thon {w} erly"])[0] >= 0.3, w
+    assert model.scores(["rash lown a $$ cumbo"])[0] < 0.3
+
+
 def test_toxicity_without_labels_or_rows(spark):
     model = toxicity.fit([])
     docs = toxicity.score_documents(frame(spark, ROWS), model)
