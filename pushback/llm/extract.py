@@ -13,7 +13,9 @@ much, and a zone goes that holds under a third of what the best holds. The
 threshold is then taken over the chosen blocks; in an article it is a tenth,
 and text without links below the parent of most kept text stays. Menus, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts and styles are
-never content, by element or by a word of class, id or role.
+never content, by element or by a class, id or role whose name ends in such a
+word; a name excludes no element that holds a zone or, where none is marked
+and the name is no advert's, most of the page's text.
 
 Character references are decoded, white space in a block becomes one space,
 blocks join with one line feed. A null or empty page, and one without content,
@@ -53,6 +55,11 @@ NOT_CONTENT = set("""ad ads adbox adslot adsense advert adverts advertisement ad
     nav navbar navigation menu breadcrumb breadcrumbs header masthead footer sidebar aside widget related
     comment comments respond replies disqus cookie cookies consent notice alert popup modal newsletter subscribe
     share sharing social login signup search form pagination pager toolbar complementary contentinfo""".split())
+#: Words of a name that tell what an element holds or has beside it, where it lies, and what it lists.
+HOLDS = set("has have with without no not and content layout results".split())
+PLACES = set("left right top bottom inner outer wrap wrapper container box area section block bar primary secondary".split())
+LISTS = set("list item items links buttons posts articles stories unit slot body text title form".split())
+ADVERTS = set("ad ads adbox adslot adsense advert adverts advertisement advertising sponsor sponsored".split())
 ZONES = {"article", "main"}
 TITLES = {"header", "masthead"}
 #: Part of the best zone's text, weighted by ratio, that another zone needs.
@@ -70,15 +77,16 @@ class Block:
     link_chars: int
     zones: tuple[int, ...]  # zones around it, outermost first
     article: bool
+    named: tuple[int, ...]  # elements around it that a class, id or role excludes
 
 
 def _attributes(raw: str) -> tuple[set[str], set[str], bool]:
     """Words of class and id, of role, and whether the element is hidden."""
-    words, roles, hidden = set(), set(), False
+    words, roles, hidden = set(), set(), False  # words: whole names, by their parts
     for name, value in ATTRIBUTE.findall(raw):
         value = value.strip("\"'")
         if name.lower() in ("class", "id"):
-            words.update(w.lower() for w in WORD_PARTS.findall(value))
+            words.update(tuple(w.lower() for w in WORD_PARTS.findall(x)) for x in value.split())
             continue
         value = value.lower()
         if name.lower() == "role":
@@ -90,10 +98,22 @@ def _attributes(raw: str) -> tuple[set[str], set[str], bool]:
     return words, roles, hidden
 
 
+def names_other(parts: tuple[str, ...], not_content: set[str]) -> bool:
+    """Whether a class or id of these parts names what is not content."""
+    if not any(w in not_content for w in parts) or not HOLDS.isdisjoint(parts):
+        return False
+    rest = [w for w in parts if w not in PLACES]
+    return bool(rest) and (rest[-1] in not_content or rest[0] in not_content and len(rest) == 2 and rest[1] in LISTS)
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of a page that lie in no excluded element, in page order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, tuple[int, ...], bool]] = [("", False, (), False)]  # name, excluded, zones, article
+    # name, excluded, zones, article, named
+    stack: list[tuple[str, bool, tuple[int, ...], bool, tuple[int, ...]]] = [("", False, (), False, ())]
+    holders: set[int] = set()  # named elements that hold a zone
+    adverts: set[int] = set()  # named elements that size does not excuse
+    n_named = 0
     parts: list[str] = []
     link_chars = links = at = n_zones = 0
 
@@ -118,7 +138,7 @@ def blocks(page: str) -> list[Block]:
     def close(depth: int) -> None:
         nonlocal links
         while len(stack) > depth:
-            if stack[-1][0] in BLOCK or stack[-1][1] and not stack[-2][1]:
+            if stack[-1][0] in BLOCK or (stack[-1][1], stack[-1][4]) != (stack[-2][1], stack[-2][4]):
                 flush()
             if stack[-1][0] == "a":
                 links = max(0, links - 1)
@@ -169,20 +189,35 @@ def blocks(page: str) -> list[Block]:
         article = stack[-1][3] or name == "article" or "article" in roles
         # an article's own header holds its title
         not_content, outside = (NOT_CONTENT - TITLES, OUTSIDE - TITLES) if stack[-1][2] else (NOT_CONTENT, OUTSIDE)
-        named = bool((words | roles) & not_content) and name not in ("html", "body", *ZONES)
-        bad = hidden or named or name in outside
-        if not stack[-1][1] and bad:
+        named = (bool(roles & not_content) or any(names_other(w, not_content) for w in words)
+                 ) and name not in ("html", "body", *ZONES)
+        bad = hidden or name in outside
+        if not stack[-1][1] and (bad or named):
             flush()
+        own = stack[-1][4]
+        if named:
+            n_named += 1
+            own = (*own, n_named)
+            if any(ADVERTS & set(w) for w in words):
+                adverts.add(n_named)
         links += name == "a"
         if name in ZONES or roles & ZONES:
             n_zones += 1
             zones = (*zones, n_zones)
-        stack.append((name, stack[-1][1] or bad, zones, article))
+            if not stack[-1][1]:
+                holders.update(own)
+        stack.append((name, stack[-1][1] or bad, zones, article, own))
     rest = page[at:]
     cut = re.search(r"<[/!?a-zA-Z][^<]*$", rest)  # a tag that the page's end cut off
     add(rest[:cut.start()] if cut else rest)
     flush()
-    return out
+    size: dict[int, int] = {}
+    for b in out:
+        for n in b.named:
+            size[n] = size.get(n, 0) + len(b.text) - b.link_chars
+    most = sum(len(b.text) - b.link_chars for b in out) / 2
+    zoned = any(b.zones for b in out)  # then the zones tell what is content
+    return [b for b in out if all(n in holders or n not in adverts and not zoned and size[n] > most for n in b.named)]
 
 
 def path_ratios(found: list[Block]) -> list[float]:

@@ -169,6 +169,14 @@ def test_ratios_choose_among_zones(body):
     assert extract.main_text(f"<body>{body}</body>") == "\n".join(["Flood", *LONG])
 
 
+@pytest.mark.parametrize("mark", ["class='content has-sidebar'", "class=layout-with-sidebar", "id='header-and-content'",
+                                  "id=search-results", "class=search", "id=header"])
+@pytest.mark.parametrize("inside", ["%s", "<article>%s</article>"])
+def test_names_do_not_exclude_the_main_text(mark, inside):
+    page = f"<body><div class=sidebar>Other things</div><div {mark}>{inside % STORY}</div><p class=site-footer>Us</p></body>"
+    assert extract.main_text(page) == "\n".join(["Flood", *LONG])
+
+
 def test_zones_of_like_size_and_lists_stay():
     posts = [f"<article><p>{x}</p></article>" for x in LONG]
     assert extract.main_text("<body>" + "".join(posts)) == "\n".join(LONG)
