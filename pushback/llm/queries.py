@@ -7,8 +7,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pushback.llm import bpe, extract, ledger, licenses, packing, ppm, quality, simhash, sketch, stages, toxicity
-from pushback.llm.common import id_hash, table
+from pushback.llm import (bpe, extract, lattice, ledger, licenses, packing, ppm, quality, runs, simhash, sketch, stages,
+                          toxicity, whiten)
+from pushback.llm.common import SPACE_CLASS, id_hash, table
 from pushback.llm.oracle_sql import SQL as SQL  # noqa: PLC0414
 
 
@@ -83,6 +84,49 @@ def op10_bpe_roundtrip(spark: SparkSession, sf: str, path: str | None = None) ->
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_lattice_neardup(spark: SparkSession, sf: str) -> DataFrame:
+    found = lattice.near_duplicates(table(spark, sf, "embeddings"))
+    return found.select("vec_id", "n_links", "component_id",
+                        F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+def op12_exact_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    found = whiten.whitened(table(spark, sf, "embeddings"), components=4)
+    return found.select("vec_id", "component", "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+                        "whitened", "explained", "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Documents of which those with a crc32 of the id divisible by 10 go on,
+    from a word that the id names, in a period that the id names."""
+    h = id_hash("doc_id")
+    words = F.filter(F.split("text", SPACE_CLASS), lambda w: w != "")
+    staged = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("_w"), F.floor(h / 10).alias("_g"))
+    staged = staged.withColumn("_n", F.size("_w").cast("bigint"))
+    staged = staged.withColumn("_a", F.when(F.col("_n") > 0, F.col("_g") % F.col("_n")))
+    staged = staged.withColumn("_p", 1 + F.floor((F.col("_n") - F.col("_a")) / (3 + F.col("_g") % 8)))
+    times = F.ceil((F.col("_n") - F.col("_a")) / F.col("_p")).cast("int")
+    period = F.slice("_w", (F.col("_a") + 1).cast("int"), F.col("_p").cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(period, times)), F.lit(1), (F.col("_n") - F.col("_a")).cast("int"))
+    whole = F.concat(F.slice("_w", F.lit(1), F.col("_a").cast("int")), tail)
+    return staged.select("doc_id", F.when(F.col("_n") > 0, F.array_join(whole, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = runs.periodic_runs(with_periodic_tails(table(spark, sf, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    found = found.withColumn("_top", runs.longest("runs"))
+    length, period = F.col("_top.length"), -F.col("_top.period")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("_top.start")).alias("start"),
+        length.alias("length"), period.alias("period"),
+        F.expr("1000 * _top.length div -_top.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256)
+        .alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ppm_scores, op2_simhash_neardup, op3_rule_ledger, op4_tag_path_extract, op5_scaled_sketch,
-    op6_subword_quality, op7_deobfuscated_toxicity, op8_license_scan, op9_bfd_packing, op10_bpe_roundtrip)}
+    op6_subword_quality, op7_deobfuscated_toxicity, op8_license_scan, op9_bfd_packing, op10_bpe_roundtrip,
+    op11_lattice_neardup, op12_exact_whitening, op13_periodic_runs)}
