@@ -20,6 +20,7 @@ from pushback.functions.calendar import federal_holidays
 from pushback.functions.exprs import (departure_bank, departure_bank_code, hour_of_hhmm,
                                       joined_key, weather_intensity)
 from pushback.operators.joins import MAX_BROADCAST_ROWS, attach_key_slice, attach_stats, keyed_stats
+from pushback.operators.nearest_information import nearest_mutual_information
 from pushback.session import cut_lineage
 
 DEP_HOUR = "__dep_hour"
@@ -269,9 +270,10 @@ def varying_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
 
 def select_informative(train: DataFrame, test: DataFrame, label: str = P.TARGET,
                        method: str = "none", min_mutual_info: float = P.DEFAULT_MIN_MUTUAL_INFO,
-                       exclude: Sequence[str] = ("row_id",)
+                       exclude: Sequence[str] = ("row_id",), estimator: str = "nearest"
                        ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """D29 + D30: keep columns scoring at least ``min_mutual_info``.
+    """D29 + D30: keep columns scoring at least ``min_mutual_info``, by nearest
+    neighbours or (``estimator="binned"``) by bins.
 
     Constant columns go first; if none vary the first column is kept; if none
     passes the threshold the best one is kept. Unknown method raises.
@@ -286,8 +288,8 @@ def select_informative(train: DataFrame, test: DataFrame, label: str = P.TARGET,
     if not varying:
         chosen = features[:1]
     else:
-        scores = {r["column"]: r["mutual_info"] for r in
-                  mutual_information(train, varying, label).collect()}
+        estimate = {"nearest": nearest_mutual_information, "binned": mutual_information}[estimator]
+        scores = {r["column"]: r["mutual_info"] for r in estimate(train, varying, label).collect()}
         chosen = [c for c in varying if (scores.get(c) or 0.0) >= min_mutual_info]
         if not chosen:
             chosen = [max(varying, key=lambda c: scores.get(c) or 0.0)]

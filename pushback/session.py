@@ -84,3 +84,12 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)  # a table without rows may have no file
+
+
+def drop_stage(df: DataFrame) -> None:
+    """Delete the table that ``cut_lineage`` wrote for ``df``, once nothing reads it any more."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if folder.rsplit("/", 2)[-2] == "tables":
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
