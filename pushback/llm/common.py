@@ -25,6 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many ``_`` before it as no column of ``df`` has (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def id_hash(id_col: str) -> Column:
     """crc32 of the id written as text (null id: null)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary"))

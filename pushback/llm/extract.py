@@ -11,7 +11,8 @@ page's ratios over text) are dropped. Where the page marks its article
 among the zones and the text outside: outside text goes where a zone holds as
 much, and a zone goes that holds under a third of what the best holds. The
 threshold is then taken over the chosen blocks; in an article it is a tenth,
-and text without links below the parent of most kept text stays. Menus, headers,
+and text below the parent of most kept text stays (outside an article, if most
+of it is no link). Menus, headers,
 footers, sidebars, notices, adverts, forms, comments, scripts and styles are
 never content, by element or by a class, id or role whose name ends in such a
 word; a name excludes no element that holds a zone or, where none is marked
@@ -19,8 +20,11 @@ and the name is no advert's, most of the page's text.
 
 Character references are decoded, white space in a block becomes one space,
 blocks join with one line feed. A null or empty page, and one without content,
-gives ''. Malformed markup never fails: unknown or unclosed tags end with what
-holds them; an unclosed script, style or comment runs to the end of the page.
+gives ''; repeated rows each get their text. Malformed markup never fails, and
+time is linear in a page's length: unknown or unclosed tags end with what holds
+them; an unclosed script, style, comment or tag runs to the end of the page; a
+quote that nothing closes is part of an unquoted value. Zones and named elements
+count up to ``NESTED`` levels deep.
 """
 
 from __future__ import annotations
@@ -36,8 +40,11 @@ from pyspark.sql import types as T
 
 from pushback.llm.common import map_rows
 
-TOKEN = re.compile(r"<!--|<!\[CDATA\[|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>")
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+TOKEN = re.compile(r"<!--|<!\[CDATA\[|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)")
+SPACES = re.compile(r"[\s/]*")
+ATTRIBUTE_NAME = re.compile(r"=?[^\s/>=]*")
+EQUALS = re.compile(r"\s*=\s*")
+UNQUOTED = re.compile(r"[^\s>]*")
 WORD_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 PUNCTUATION = re.compile(r"[.,;:!?。，；！？、]")
 #: Fixed lists of HTML element names.
@@ -70,9 +77,43 @@ WINDOW = 2
 PUNCTUATION_WEIGHT = 4.0
 
 
+#: Levels of zones and of named elements that count.
+NESTED = 32
+
+
+class Paths:
+    """Tag paths from the root as numbers; 0 is the root."""
+
+    def __init__(self):
+        self.known: dict[tuple[int, str], int] = {}
+        self.name, self.parent, self.jump, self.depth = [""], [0], [0], [0]
+
+    def below(self, path: int, name: str) -> int:
+        new = self.known.setdefault((path, name), len(self.name))
+        if new == len(self.name):
+            far = self.jump[path]
+            even = self.depth[path] - self.depth[far] == self.depth[far] - self.depth[self.jump[far]]
+            self.name.append(name)
+            self.parent.append(path)
+            self.depth.append(self.depth[path] + 1)
+            self.jump.append(self.jump[far] if even else path)
+        return new
+
+    def shared(self, a: int, b: int) -> int:
+        """The longest path that both begin with, in logarithmic time."""
+        depth, jump, parent = self.depth, self.jump, self.parent
+        if depth[a] < depth[b]:
+            a, b = b, a
+        while depth[a] > depth[b]:
+            a = jump[a] if depth[jump[a]] >= depth[b] else parent[a]
+        while a != b:
+            a, b = (jump[a], jump[b]) if jump[a] != jump[b] else (parent[a], parent[b])
+        return a
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    path: int
     text: str
     link_chars: int
     zones: tuple[int, ...]  # zones around it, outermost first
@@ -80,24 +121,41 @@ class Block:
     named: tuple[int, ...]  # elements around it that a class, id or role excludes
 
 
-def _attributes(raw: str) -> tuple[set[str], set[str], bool]:
+def _attributes(found: dict[str, str]) -> tuple[set[str], set[str], bool]:
     """Words of class and id, of role, and whether the element is hidden."""
-    words, roles, hidden = set(), set(), False  # words: whole names, by their parts
-    for name, value in ATTRIBUTE.findall(raw):
-        value = value.strip("\"'")
-        if name.lower() in ("class", "id"):
-            words.update(tuple(w.lower() for w in WORD_PARTS.findall(x)) for x in value.split())
-            continue
-        value = value.lower()
-        if name.lower() == "role":
-            roles.update(value.split())
-        elif name.lower() == "hidden" or name.lower() == "aria-hidden" and value == "true":
-            hidden = True
-        elif name.lower() == "style" and re.search(r"display\s*:\s*none", value):
-            hidden = True
+    words = {tuple(w.lower() for w in WORD_PARTS.findall(x))  # whole names, by their parts
+             for name in ("class", "id") for x in found.get(name, "").split()}
+    roles = set(found.get("role", "").lower().split())
+    hidden = ("hidden" in found or found.get("aria-hidden", "").lower() == "true"
+              or re.search(r"display\s*:\s*none", found.get("style", "").lower()) is not None)
     return words, roles, hidden
 
 
+def tag_rest(page: str, at: int, last: dict[str, int]) -> tuple[dict[str, str], int] | None:
+    """Attributes of the tag whose name ends at ``at``, by lower-case name (the
+    first of equal ones), and where the tag ends; None if the page ends first.
+    ``last`` has the place of the last quote of either kind."""
+    found: dict[str, str] = {}
+    while True:
+        at = SPACES.match(page, at).end()
+        if at >= len(page):
+            return None
+        if page[at] == ">":
+            return found, at + 1
+        m = ATTRIBUTE_NAME.match(page, at)
+        name, value, at = m[0].lower(), "", m.end()
+        if (m := EQUALS.match(page, at)) is not None:
+            at = m.end()
+            quote = page[at:at + 1]
+            if quote in ("'", '"') and last[quote] > at:
+                end = page.index(quote, at + 1)
+                value, at = page[at + 1:end], end + 1
+            else:
+                m = UNQUOTED.match(page, at)
+                value, at = m[0], m.end()
+        found.setdefault(name, html.unescape(value) if "&" in value else value)
+
+
 def names_other(parts: tuple[str, ...], not_content: set[str]) -> bool:
     """Whether a class or id of these parts names what is not content."""
     if not any(w in not_content for w in parts) or not HOLDS.isdisjoint(parts):
@@ -106,24 +164,27 @@ def names_other(parts: tuple[str, ...], not_content: set[str]) -> bool:
     return bool(rest) and (rest[-1] in not_content or rest[0] in not_content and len(rest) == 2 and rest[1] in LISTS)
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str, paths: Paths) -> list[Block]:
     """Blocks of a page that lie in no excluded element, in page order."""
     out: list[Block] = []
-    # name, excluded, zones, article, named
-    stack: list[tuple[str, bool, tuple[int, ...], bool, tuple[int, ...]]] = [("", False, (), False, ())]
+    # name, excluded, zones, article, named, path
+    stack: list[tuple[str, bool, tuple[int, ...], bool, tuple[int, ...], int]] = [("", False, (), False, (), 0)]
+    places: dict[str, list[int]] = {}  # of the open elements of a name
+    block_places = [0]  # of the open block elements
     holders: set[int] = set()  # named elements that hold a zone
     adverts: set[int] = set()  # named elements that size does not excuse
     n_named = 0
     parts: list[str] = []
     link_chars = links = at = n_zones = 0
+    last = {q: page.rfind(q) for q in "'\""}
 
     def flush() -> None:
         nonlocal link_chars
         if parts:
             text = " ".join("".join(parts).split())
             if text and not stack[-1][1]:
-                path = tuple(s[0] for s in stack[1:] if s[0] in BLOCK)
-                out.append(Block(path, text, link_chars, *stack[-1][2:]))
+                _, _, zones, article, named, path = stack[-1]
+                out.append(Block(path, text, link_chars, zones, article, named))
             parts.clear()
         link_chars = 0
 
@@ -138,11 +199,15 @@ def blocks(page: str) -> list[Block]:
     def close(depth: int) -> None:
         nonlocal links
         while len(stack) > depth:
-            if stack[-1][0] in BLOCK or (stack[-1][1], stack[-1][4]) != (stack[-2][1], stack[-2][4]):
+            name = stack[-1][0]
+            if name in BLOCK or (stack[-1][1], stack[-1][4]) != (stack[-2][1], stack[-2][4]):
                 flush()
-            if stack[-1][0] == "a":
+            if name == "a":
                 links = max(0, links - 1)
             stack.pop()
+            places[name].pop()
+            if block_places[-1] == len(stack):
+                block_places.pop()
 
     while (m := TOKEN.search(page, at)) is not None:
         add(page[at:m.start()])
@@ -155,36 +220,37 @@ def blocks(page: str) -> list[Block]:
                     add(page[at:end if end >= 0 else len(page)])
                 at = end + 3 if end >= 0 else len(page)
             continue
-        name = m[2].lower()
+        if (rest := tag_rest(page, at, last)) is None:  # the page's end cut the tag off
+            at = len(page)
+            break
+        start, name = at, m[2].lower()
+        attributes, at = rest
         if m[1]:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), None)
-            if depth is not None:
-                close(depth)
+            if places.get(name):
+                close(places[name][-1])
             elif name in BLOCK:
                 flush()
             continue
         if name in RAW:
-            end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)", re.I).search(page, at)
+            shut = page.find(">", end.end()) if end else -1
+            at = shut + 1 if shut >= 0 else len(page)
             parts.append(" ")
             continue
         if name == "br":
             parts.append(" ")
             continue
-        if name in ENDS_P:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] in BLOCK), 0)
-            if stack[depth][0] == "p":
-                close(depth)
+        if name in ENDS_P and stack[block_places[-1]][0] == "p":
+            close(block_places[-1])
         if name in SAME_ENDS:
-            depth = next((i for i in range(len(stack) - 1, 0, -1)
-                          if stack[i][0] == name or stack[i][0] in SAME_ENDS[name]), 0)
+            depth = max((places[x][-1] for x in (name, *SAME_ENDS[name]) if places.get(x)), default=0)
             if stack[depth][0] == name:
                 close(depth)
         if name in BLOCK:
             flush()
-        if name in VOID or m[3].rstrip().endswith("/") and name not in BLOCK:
+        if name in VOID or name not in BLOCK and page[start:at - 1].rstrip().endswith("/"):
             continue
-        words, roles, hidden = _attributes(m[3]) if m[3].strip() else (set(), set(), False)
+        words, roles, hidden = _attributes(attributes) if attributes else (set(), set(), False)
         zones = stack[-1][2]
         article = stack[-1][3] or name == "article" or "article" in roles
         # an article's own header holds its title
@@ -195,21 +261,25 @@ def blocks(page: str) -> list[Block]:
         if not stack[-1][1] and (bad or named):
             flush()
         own = stack[-1][4]
-        if named:
+        if named and len(own) < NESTED:
             n_named += 1
             own = (*own, n_named)
             if any(ADVERTS & set(w) for w in words):
                 adverts.add(n_named)
         links += name == "a"
         if name in ZONES or roles & ZONES:
-            n_zones += 1
-            zones = (*zones, n_zones)
+            if len(zones) < NESTED:
+                n_zones += 1
+                zones = (*zones, n_zones)
             if not stack[-1][1]:
                 holders.update(own)
-        stack.append((name, stack[-1][1] or bad, zones, article, own))
-    rest = page[at:]
-    cut = re.search(r"<[/!?a-zA-Z][^<]*$", rest)  # a tag that the page's end cut off
-    add(rest[:cut.start()] if cut else rest)
+        places.setdefault(name, []).append(len(stack))
+        path = stack[-1][5]
+        if name in BLOCK:
+            block_places.append(len(stack))
+            path = paths.below(path, name)
+        stack.append((name, stack[-1][1] or bad, zones, article, own, path))
+    add(page[at:])
     flush()
     size: dict[int, int] = {}
     for b in out:
@@ -220,7 +290,7 @@ def blocks(page: str) -> list[Block]:
     return [b for b in out if all(n in holders or n not in adverts and not zoned and size[n] > most for n in b.named)]
 
 
-def path_ratios(found: list[Block]) -> list[float]:
+def path_ratios(found: list[Block], paths: Paths) -> list[float]:
     """Smoothed and fused tag-path ratio of each block; zones have paths of their own."""
     total: dict[tuple, list[float]] = {}
     for b in found:
@@ -238,8 +308,8 @@ def path_ratios(found: list[Block]) -> list[float]:
         weight = near = 0.0
         for j in range(max(0, i - WINDOW), min(len(found), i + WINDOW + 1)):
             other = found[j].path
-            same = next((k for k, (x, y) in enumerate(zip(b.path, other)) if x != y), min(len(b.path), len(other)))
-            w = math.exp(-abs(i - j)) * (same + 1) / (max(len(b.path), len(other)) + 1)
+            same, longer = paths.depth[paths.shared(b.path, other)], max(paths.depth[b.path], paths.depth[other])
+            w = math.exp(-abs(i - j)) * (same + 1) / (longer + 1)
             weight += w
             near += w * plain[j]
         fused.append(math.sqrt(plain[i] * near / weight))
@@ -265,11 +335,11 @@ def chosen(found: list[Block], ratios: list[float], own: list[int], depth: int =
     return sorted(out)
 
 
-def content(found: list[Block]) -> list[Block]:
+def content(found: list[Block], paths: Paths) -> list[Block]:
     """Blocks of the content paths."""
     if not found:
         return []
-    ratios = path_ratios(found)
+    ratios = path_ratios(found, paths)
     picked = chosen(found, ratios, list(range(len(found))))
     found, ratios = [found[i] for i in picked], [ratios[i] for i in picked]
     chars = sum(len(b.text) for b in found)
@@ -283,28 +353,30 @@ def content(found: list[Block]) -> list[Block]:
     kept = {(b.zones, b.path) for b in found
             if (r := best[b.zones, b.path]) > 0 and r >= least * (ARTICLE_PART if b.article else 1)}
     # headings and the like beside kept paths: siblings under the parent of most kept text
-    held: dict[tuple, dict[tuple, int]] = {}
+    held: dict[tuple, dict[int, int]] = {}
     for b in found:
         if (b.zones, b.path) in kept:
             own = held.setdefault(b.zones, {})
-            own[b.path[:-1]] = own.get(b.path[:-1], 0) + len(b.text)
+            above = paths.parent[b.path]
+            own[above] = own.get(above, 0) + len(b.text)
     parents = {z: max(own, key=own.get) for z, own in held.items()}
 
     def beside(b: Block) -> bool:
         parent = parents.get(b.zones)
-        if b.link_chars * 2 >= len(b.text):
+        if b.link_chars * 2 >= len(b.text) and not b.article:
             return False
-        if b.zones and b.path[-1:] == ("h1",):  # the title of a zone
+        if b.zones and paths.name[b.path] == "h1":  # the title of a zone
             return True
         # in a zone also lists, tables and quotations among the siblings
-        return parent is not None and len(b.path) > len(parent) and b.path[:len(parent)] == parent and (
-            bool(b.zones) or len(b.path) == len(parent) + 1)
+        return (parent is not None and paths.depth[b.path] > paths.depth[parent] and paths.shared(b.path, parent) == parent
+                and (bool(b.zones) or paths.depth[b.path] == paths.depth[parent] + 1))
 
     return [b for b in found if (b.zones, b.path) in kept or beside(b)]
 
 
 def main_text(page: str | None) -> str:
-    return "\n".join(b.text for b in content(blocks(page))) if page else ""
+    paths = Paths()
+    return "\n".join(b.text for b in content(blocks(page, paths), paths)) if page else ""
 
 
 def extract(pages: DataFrame, *, keep: list[str], html_col: str = "html") -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pushback.llm.common import group_starts, map_rows, normal_words
+from pushback.llm.common import free_name, group_starts, map_rows, normal_words
 from pushback.session import cut_lineage
 
 SHINGLE_WORDS = 4
@@ -202,10 +202,11 @@ def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: s
     found = groups(docs, id_col=id_col, text_col=text_col, shingle_words=shingle_words, max_bits=max_bits)
     keep = found.groupBy("root").agg(F.min(F.struct(
         F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_hash").alias("h"))).alias("k"))
-    keep = keep.select(F.col("k.id").alias("_keep_id"), F.col("k.h").alias("_keep_h"))
-    same = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.xxhash64(text_col) == F.col("_keep_h"))
-    return (docs.join(keep, same).drop("_keep_id")
-            .dropDuplicates([id_col, "_keep_h"]).drop("_keep_h"))
+    kept_id, kept_hash = free_name(docs, "_keep_id"), free_name(docs, "_keep_h")
+    keep = keep.select(F.col("k.id").alias(kept_id), F.col("k.h").alias(kept_hash))
+    same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.xxhash64(text_col) == F.col(kept_hash))
+    return (docs.join(keep, same).drop(kept_id)
+            .dropDuplicates([id_col, kept_hash]).drop(kept_hash))
 
 
 def fingerprint_hex(fp: str):

@@ -1,7 +1,7 @@
 """Stages of the corpus pipeline: (spark, docs, sf_dir) -> DataFrame.
 
-The filters return the columns of ``docs``; a null text is an empty one. An
-internal score column has a name that documents do not use.
+The filters return the columns of ``docs``; a null text is an empty one. The
+score column within them has a name that the documents do not use.
 """
 
 from __future__ import annotations
@@ -11,12 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pushback.llm import packing, quality, simhash, toxicity
-from pushback.llm.common import id_hash, table
+from pushback.llm.common import free_name, id_hash, table
 from pushback.session import make_importable
 
-SCORE = "_stage_score"
-
-
 def toxicity_train():
     return id_hash("doc_id") % 4 != 2
 
@@ -29,16 +26,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose toxicity score is under the threshold."""
     make_importable(spark)
     model = toxicity.trained(docs, table(spark, sf_dir, "labels"), train=toxicity_train())
-    scored = toxicity.score_documents(docs, model, score_col=SCORE)
-    return scored.where(F.col(SCORE) < toxicity.THRESHOLD).drop(SCORE)
+    score = free_name(docs, "_score")
+    return toxicity.score_documents(docs, model, score_col=score).where(F.col(score) < toxicity.THRESHOLD).drop(score)
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose quality score reaches the threshold."""
     make_importable(spark)
     model = quality.trained(docs, table(spark, sf_dir, "labels"), train=quality_train())
-    scored = quality.score_documents(docs, model, score_col=SCORE)
-    return scored.where(F.col(SCORE) >= quality.THRESHOLD).drop(SCORE)
+    score = free_name(docs, "_score")
+    return quality.score_documents(docs, model, score_col=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

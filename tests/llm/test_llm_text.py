@@ -1,8 +1,11 @@
 """PPM, rules, extraction, sketches, classifiers, licences and the pipeline."""
 
 import hashlib
+import itertools
 import math
+import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -408,3 +411,62 @@ def test_pipeline_runs(spark):
             at += n
         assert at == total
     assert 100 < len(spans) < 200
+
+
+# attributes and malformed pages
+ARTICLE = "<article%s><h1>T</h1><p>One two three four, five six seven.</p><p>Second paragraph is here, too.</p>%s</article>"
+TEXT = "T\nOne two three four, five six seven.\nSecond paragraph is here, too."
+
+
+@pytest.mark.parametrize(("page", "more"), [
+    (ARTICLE % (' title="The hidden story"', ""), ""),
+    (ARTICLE % ("", '<p>See <a href="/hidden/gem">gem here</a> now, please.</p>'), "\nSee gem here now, please."),
+    ('<div data-hidden="false">' + ARTICLE % ("", "") + "</div>", ""),
+    (ARTICLE % ("", '<p data-id="sidebar">Kept, this one.</p><p title="x id=nav y">And this.</p>'), "\nKept, this one.\nAnd this."),
+    (ARTICLE % ("", '<p>A <span data-tip="hidden">word</span> here.</p>'), "\nA word here."),
+    (ARTICLE % ("", '<ul><li><a href="a">first link</a></li><li><a href="b">second link</a></li></ul>'), "\nfirst link\nsecond link"),
+    (ARTICLE % ("", '<p title="open>Text after it.</p>'), "\nText after it."),
+    (ARTICLE % ("", '<p id=sidebar>Gone.</p><p HIDDEN>Gone.</p><p style="display: none">Gone.</p><p class=\'ad\'>Gone.</p>'), ""),
+    (ARTICLE % ("", '<p class="a" class="sidebar">Kept, the first counts.</p>'), "\nKept, the first counts.")])
+def test_attributes_count_by_their_own_names(page, more):
+    assert extract.main_text(page) == TEXT + more
+
+
+@pytest.mark.parametrize("piece", ["<a ", '<p title="', "<div>t ", "<div><b>x", "</span>", "<article>t ", "<td>x", "</script",
+                                   '<div class="nav">x', "<p a=b "])
+def test_malformed_pages_take_linear_time(piece):
+    def seconds(size):
+        start = time.perf_counter()
+        extract.main_text(piece * (size // len(piece)))
+        return time.perf_counter() - start
+    assert seconds(200_000) < 12 * max(seconds(50_000), 0.02)
+
+
+def test_deeply_nested_zones_and_names_do_not_fail():
+    deep = "<article><div class='nav-wrap nav'>" * 3000 + "x"
+    assert extract.main_text(deep) == ""
+    assert extract.main_text("<article>" * 3000 + "<p>Some words, at last.</p>") == "Some words, at last."
+
+
+def test_paths_share_what_they_begin_with():
+    paths, rnd = extract.Paths(), random.Random(1)
+    names = [tuple(rnd.choice("ab") for _ in range(rnd.randrange(12))) for _ in range(60)]
+    numbers = []
+    for path in names:
+        at = 0
+        for name in path:
+            at = paths.below(at, name)
+        numbers.append(at)
+    for (a, x), (b, y) in itertools.product(zip(names, numbers), repeat=2):
+        same = next((i for i, (p, q) in enumerate(zip(a, b)) if p != q), min(len(a), len(b)))
+        assert paths.depth[paths.shared(x, y)] == same
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    for c in ("_score", "_stage_score", "_keep_h", "_keep_id", "_raw"):
+        docs = docs.withColumn(c, F.lit(c))
+    for stage in (stages.drop_toxic, stages.drop_low_quality, stages.drop_near_duplicates):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and out.select("_score", "_keep_h").distinct().collect() == [("_score", "_keep_h")]
+        assert stage(spark, docs.limit(0), SF).count() == 0
