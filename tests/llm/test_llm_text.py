@@ -444,7 +444,7 @@ def test_malformed_pages_take_linear_time(piece):
 
 def test_deeply_nested_zones_and_names_do_not_fail():
     deep = "<article><div class='nav-wrap nav'>" * 3000 + "x"
-    assert extract.main_text(deep) == ""
+    assert extract.main_text(deep) == "x"  # a name counts on the first NESTED levels only
     assert extract.main_text("<article>" * 3000 + "<p>Some words, at last.</p>") == "Some words, at last."
 
 
@@ -470,3 +470,68 @@ def test_stages_keep_columns_of_any_name(spark):
         out = stage(spark, docs, SF)
         assert out.columns == docs.columns and out.select("_score", "_keep_h").distinct().collect() == [("_score", "_keep_h")]
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+# spellings of whole-word marks
+INSULTS = ["moron", "clownish", "rubbish", "scumbag", "trashy"]
+SPELLINGS = {
+    "plain": lambda w: w, "tripled": lambda w: w[:2] + w[2] * 3 + w[3:], "doubled": lambda w: w[:2] + w[2] * 2 + w[3:],
+    "doubled first": lambda w: w[0] + w, "spaced": " ".join, "dots apart": " . ".join, "dashes apart": " - ".join,
+    "dashes": "-".join, "brackets": lambda w: "".join(f"({c})" for c in w), "in two": lambda w: w[:3] + " " + w[3:],
+    "in threes": lambda w: " ".join([w[:2], w[2:4], w[4:]]), "drawn": lambda w: w.replace("o", "0").replace("a", "@").replace("i", "1"),
+    "long": lambda w: "".join(c * 40 for c in w)}
+
+
+def insulting():
+    rnd = random.Random(3)
+    calm = ["".join(rnd.choice(["ka", "lo", "ne", "ri", "tu", "sel", "mar", "pon"]) for _ in range(rnd.randrange(1, 4))) for _ in range(300)]
+    def text(extra):
+        words = [rnd.choice(calm) for _ in range(40)]
+        for w in extra:
+            words.insert(rnd.randrange(41), w)
+        return " ".join(words)
+    rows = [(text([w]), 1) for w in INSULTS for _ in range(30)] + [(text([]), 0) for _ in range(600)]
+    return toxicity.fit(rows), text
+
+
+def test_spellings_of_marks_are_restored_and_clean_texts_left_alone():
+    model, text = insulting()
+    assert model.names >= set(INSULTS)
+    for kind, spell in SPELLINGS.items():
+        caught = [s >= toxicity.THRESHOLD for s in model.scores([text([spell(w)]) for w in INSULTS for _ in range(4)])]
+        assert sum(caught) >= 0.9 * len(caught), (kind, sum(caught), len(caught))
+    flagged = [s >= toxicity.THRESHOLD for s in model.scores([text([]) for _ in range(300)])]
+    assert sum(flagged) <= 3
+
+
+def test_viterbi_equals_the_cheapest_path_of_the_whole_lattice():
+    letters = toxicity.fit_letters(["moron", "norm", "room", "on", "ill", "list", "soon"] * 3)
+
+    def paths(word, i, last, cost, text):
+        if i == len(word):
+            yield cost + letters.cost(last, ""), text
+            return
+        c = word[i]
+        choices = [(c, 0.0)] if c.isalpha() else [(x, toxicity.DRAWN) for x in toxicity.SHAPES.get(c, "")]
+        if not choices or c in toxicity.SEPARATORS:
+            yield from paths(word, i + 1, last, cost + toxicity.DROPPED, text)
+        if i and c == word[i - 1] and last:
+            yield from paths(word, i + 1, last, cost + toxicity.SHRUNK, text)
+        for x, extra in choices:
+            yield from paths(word, i + 1, x, cost + extra + letters.cost(last, x), text + x)
+
+    rnd = random.Random(1)
+    for _ in range(300):
+        word = "".join(rnd.choice("moril01!.-(s") for _ in range(rnd.randrange(1, 8)))
+        if any(c.isalpha() or c in toxicity.SHAPES for c in word):
+            best = min(paths(word, 0, "", 0.0, ""))
+            found = toxicity.restore(word, letters)
+            assert any(abs(cost - best[0]) < 1e-9 for cost, text in paths(word, 0, "", 0.0, "") if text == found)
+
+
+def test_long_words_take_linear_time():
+    model, _ = insulting()
+    for word in ("!1" * 10_000, "m" * 20_000, "a.b-" * 5_000, "+" * 10_000 + "x" + "!|" * 5_000, " ".join(["a"] * 4000)):
+        start = time.perf_counter()
+        model.scores([word])
+        assert time.perf_counter() - start < 10
