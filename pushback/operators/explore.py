@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from pushback import profile as P
 from pushback.functions.exprs import label_ordinal
 from pushback.operators.quantiles import DEFAULT_ACCURACY, exact_quantiles, quantile_map
 
+#: Sums over rows that have both columns.
+SUMS = ["n", "sx", "sy", "sxx", "syy", "sxy"]
+
 
 def class_distribution(df: DataFrame, target: str = P.TARGET,
                        order: Sequence[str] = P.CLASS_ORDER) -> DataFrame:
@@ -110,65 +115,46 @@ def box_stats_by_class(df: DataFrame, columns: Sequence[str], target: str = P.TA
     return fences.join(whiskers, [target, "column"]).drop("lo_fence", "hi_fence")
 
 
-def correlation_matrix(df: DataFrame, columns: Sequence[str], per_lane: int = 8) -> DataFrame:
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair on pairwise-complete rows.
 
     Long form (column_a, column_b, corr) with both orders and the diagonal.
-    Two scans: per-column means (the shift), then for every pair the plain
-    sums n, Sx, Sy, Sxx, Syy, Sxy of the shifted values over rows where both
-    are present; corr = cov / sqrt(var_x var_y) from those sums. Shifting by
-    the mean keeps the sums free of cancellation. Pairs are dealt into lanes
-    of ``per_lane`` (each row exploded once per lane) so the generated
-    aggregate stays small enough to be JIT-compiled; ``stack`` emits the lane rows.
+    Two scans: per-column means (the shift), then, in Arrow batches, products of
+    the matrices of shifted values, their squares and their presence (nulls and
+    NaN count as absent, as zero). A task adds up four tables of columns by
+    columns, whatever its rows; corr = cov / sqrt(var_x var_y) from the sums.
+    Shifting by the mean keeps the sums free of cancellation.
     """
     cols = list(columns)
-    shift = df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols]).first()
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    lanes = [pairs[i:i + per_lane] for i in range(0, len(pairs), per_lane)]
-    width = max(len(lane) for lane in lanes)
-    none = F.lit(None).cast("double")
-
-    def centred(c):
-        return F.col(c).cast("double") - F.lit(shift[c] if shift[c] is not None else 0.0)
-
-    # one generated row per lane via stack(), which emits rows without
-    # building struct values (explode of struct arrays allocates per row)
-    centred_cols = [centred(c).alias(f"__v{j}") for j, c in enumerate(cols)]
-    idx = {c: j for j, c in enumerate(cols)}
-    args = []
-    for n, lane in enumerate(lanes):
-        args.append(str(n))
-        args += [f"__v{idx[a]}" for a, _ in lane] + ["CAST(NULL AS DOUBLE)"] * (width - len(lane))
-        args += [f"__v{idx[b]}" for _, b in lane] + ["CAST(NULL AS DOUBLE)"] * (width - len(lane))
-    names_out = ", ".join(["lane"] + [f"x{i}" for i in range(width)] + [f"y{i}" for i in range(width)])
-    exploded = df.select(*centred_cols).selectExpr(
-        f"stack({len(lanes)}, {', '.join(args)}) AS ({names_out})")
-    aggs = []
-    for i in range(width):
-        both = F.col(f"x{i}").isNotNull() & F.col(f"y{i}").isNotNull()
-        x, y = F.when(both, F.col(f"x{i}")), F.when(both, F.col(f"y{i}"))
-        aggs += [F.count(x).alias(f"n{i}"), F.sum(x).alias(f"sx{i}"), F.sum(y).alias(f"sy{i}"),
-                 F.sum(x * x).alias(f"sxx{i}"), F.sum(y * y).alias(f"syy{i}"),
-                 F.sum(x * y).alias(f"sxy{i}")]
-    agg = exploded.groupBy("lane").agg(*aggs)
-
-    def corr(i):
-        n = F.col(f"n{i}")
-        sx, sy = F.col(f"sx{i}"), F.col(f"sy{i}")
-        cov = F.col(f"sxy{i}") - sx * sy / n
-        vx = F.col(f"sxx{i}") - sx * sx / n
-        vy = F.col(f"syy{i}") - sy * sy / n
-        return F.when((n > 0) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
-
-    names = df.sparkSession.createDataFrame(
-        [(n, i, a, b) for n, lane in enumerate(lanes) for i, (a, b) in enumerate(lane)],
-        "lane int, slot int, column_a string, column_b string")
-    cells = agg.select("lane", F.posexplode(F.array(*[corr(i) for i in range(width)]))
-                       .alias("slot", "corr"))
-    upper = cells.join(F.broadcast(names), ["lane", "slot"]).select("column_a", "column_b", "corr")
-    lower = (upper.filter(F.col("column_a") != F.col("column_b"))
-             .select(F.col("column_b").alias("column_a"), F.col("column_a").alias("column_b"), "corr"))
-    return upper.unionByName(lower)
+    value = {c: F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols}
+    shift = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(value.values())]).first()
+    shifted = df.select(*[(v - F.lit(shift[f"m{i}"] or 0.0)).alias(f"v{i}") for i, v in enumerate(value.values())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k = len(cols)
+        n, sx, sxx, sxy = np.zeros((4, k, k))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            there = ~np.isnan(x)
+            x, m = np.where(there, x, 0.0), there.astype(np.float64)
+            n += m.T @ m
+            sx += x.T @ m
+            sxx += (x * x).T @ m
+            sxy += x.T @ x
+        tables = [n, sx, sx.T, sxx, sxx.T, sxy]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(np.arange(k, dtype=np.int32), k)), pa.array(np.tile(np.arange(k, dtype=np.int32), k)),
+             *(pa.array(np.ascontiguousarray(t).ravel()) for t in tables)], names=["i", "j", *SUMS])
+
+    sums = (shifted.mapInArrow(run, "i int, j int, " + ", ".join(f"{s} double" for s in SUMS))
+            .groupBy("i", "j").agg(*[F.sum(s).alias(s) for s in SUMS]))
+    sx, sy, sxx, syy, sxy = (F.col(s) for s in SUMS[1:])
+    n = F.nullif(F.col("n"), F.lit(0.0))
+    cov, vx, vy = sxy - sx * sy / n, sxx - sx * sx / n, syy - sy * sy / n
+    names = F.array(*[F.lit(c) for c in cols])
+    return sums.select(
+        F.get(names, F.col("i")).alias("column_a"), F.get(names, F.col("j")).alias("column_b"),
+        F.when((vx > 0) & (vy > 0), cov / F.sqrt(F.nullif(vx * vy, F.lit(0.0)))).alias("corr"))
 
 
 def quartile_bands(df: DataFrame, column: str, out: str,

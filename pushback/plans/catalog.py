@@ -105,6 +105,7 @@ QUERIES = {
     "numeric_airport_codes": _on_enriched(quality.numeric_airport_codes),
     "consistency": _on_enriched(quality.consistency),
     "target_readiness": _on_enriched(quality.target_readiness),
+    "delay_statistics": _on_enriched(quality.delay_statistics),
     "iqr_outliers": _on_enriched(quality.iqr_outliers),
     "format_issues": _on_enriched(quality.format_issues),
     "invalid_dates": _on_enriched(quality.invalid_dates),

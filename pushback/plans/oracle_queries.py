@@ -67,6 +67,7 @@ SQL.update({
     "cardinality": O.over_enriched(Q.cardinality(_E, _EC)),
     "top_values": O.over_enriched(Q.top_values(_E, _EC)),
     "describe": O.over_enriched(Q.statistics(_E, _EC)),
+    "delay_statistics": O.over_enriched(Q.statistics(_E, _EC, ["DEPARTURE_DELAY"])),
     "unknown_codes": O.over_enriched(Q.unknown_codes(_E),
                                      airlines=f"SELECT * FROM ({O.AIRLINES}) WHERE IATA_CODE < 'M'"),
     "validation_report": O.over_enriched(Q.validation_report(_E, _EC), **_DIMS),
@@ -113,6 +114,7 @@ SQL.update({
     "per_class_report": over_pairs(EV.per_class("arr")),
     "weakest_class": over_pairs(EV.weakest("arr")),
     "class_weights": over_pairs(EV.class_weights("train"), train="SELECT * FROM split WHERE NOT is_test"),
+    "oversampled_sizes": over_pairs(EV.oversampled("train"), train="SELECT * FROM split WHERE NOT is_test"),
     "majority_baseline": over_pairs("SELECT * FROM maj"),
     "error_summary": over_pairs(EV.error_summary("arr")),
     "confusion_pairs": over_pairs(EV.confusion_pairs("arr")),
