@@ -470,13 +470,17 @@ QUERIES.update({
     "holdout_predictions": holdout_predictions,
     "model_runs": model_runs,
     "plain_cv_scores": plain_cv_scores,
+})
+
+# fits of a minute and more, which come last where all queries run
+LONG_QUERIES = {
+    "oversampled_sizes": oversampled_sizes,
+    "neighbour_information": neighbour_information,
     "boosted_holdout": _holdout("hist_gradient_boosting", "histogram boosting"),
     "two_stage_holdout": _holdout("hierarchical_hist_gradient_boosting", "two-stage histogram boosting"),
     "forest_holdout": _holdout("random_forest", "random forest"),
     "extra_trees_holdout": _holdout("extra_trees", "extra trees"),
-    "oversampled_sizes": oversampled_sizes,
-    "neighbour_information": neighbour_information,
-})
+}
 
 
 # ---- sources ---------------------------------------------------------------------------
