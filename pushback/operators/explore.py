@@ -105,13 +105,20 @@ def box_stats_by_class(df: DataFrame, columns: Sequence[str], target: str = P.TA
     fences = wide.select(target, "column", "q1", "median", "q3", "n",
                          (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
                          (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
-    from pushback.operators.quantiles import to_long
-    long = to_long(df, columns, [target]).join(fences, [target, "column"])
-    inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
-    whiskers = long.groupBy(target, "column").agg(
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.count_if(~inside).alias("n_outliers"))
+    # the fences of a class in one row, so that rows are not turned to a row for each cell
+    by_class = fences.groupBy(target).agg(*[
+        F.max(F.when(F.col("column") == c, F.struct("lo_fence", "hi_fence"))).alias(f"__f{i}")
+        for i, c in enumerate(columns)])
+    aggs = []
+    for i, c in enumerate(columns):
+        v = F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+        inside = (v >= F.col(f"__f{i}.lo_fence")) & (v <= F.col(f"__f{i}.hi_fence"))
+        aggs += [F.min(F.when(inside, v)).alias(f"lo{i}"), F.max(F.when(inside, v)).alias(f"hi{i}"),
+                 F.count_if(~inside).alias(f"out{i}")]
+    whiskers = df.join(F.broadcast(by_class), target).groupBy(target).agg(*aggs).select(target, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"lo{i}").alias("whisker_low"),
+                 F.col(f"hi{i}").alias("whisker_high"), F.col(f"out{i}").alias("n_outliers"))
+        for i, c in enumerate(columns)])))
     return fences.join(whiskers, [target, "column"]).drop("lo_fence", "hi_fence")
 
 

@@ -57,3 +57,15 @@ def test_plan_moves_no_rows_by_column(spark):
     df = spark.range(1000).selectExpr("id", "cast(id as double) as a", "cast(id % 7 as double) as b")
     plan = exact_quantiles(df, ["a", "b"], [0.5])._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def test_one_row_a_cell_is_never_built(spark):
+    """Values are counted by digits in Arrow batches: no row for each cell, no sketch; specials sort as they should."""
+    values = [float("-inf"), -1e300, -2.5, -0.0, 0.0, 5e-324, 2.5, 1e300, float("inf"), float("nan"), None]
+    df = spark.createDataFrame([(v, "a" if i % 2 else None) for i, v in enumerate(values)], "x double, g string")
+    got = [r["value"] for r in exact_quantiles(df, ["x"], [i / 8 for i in range(9)], accuracy=1).orderBy("prob").collect()]
+    assert got == sorted(v for v in values if v is not None and v == v)
+    assert {r["g"]: r["n"] for r in exact_quantiles(df, ["x"], [0.5], ["g"]).collect()} == {"a": 4}
+    assert exact_quantiles(df.filter("x > 1e308 and x < 1"), ["x"], [0.5], ["g"]).collect() == []
+    from pushback.operators import quantiles
+    assert not hasattr(quantiles, "_cells")
