@@ -188,36 +188,39 @@ def dataset_profile(df: DataFrame, sample_values: int = 3) -> DataFrame:
     """Per column type, non-null count, null percent, distinct count and samples.
 
     Samples are the smallest distinct values (numeric order for numbers,
-    doubles printed with 6 decimals). Distinct counts come from one shuffle of
-    (column, value) pairs, pre-aggregated map-side; the per-column sample list
-    is a bounded top-k.
+    doubles printed with 6 decimals; both zeros count). Each column is read and
+    grouped by itself, by its own type, so a column of few values sends few and
+    none meets the values of another; samples are a bounded top-k of each part.
     """
     cols = df.columns
     types = dict(df.dtypes)
     numeric = {"int", "bigint", "smallint", "tinyint", "double", "float"}
-    total = df.count()
-    nn = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first()
-
-    def cell(c):
-        num = F.col(c).cast("double") if types[c] in numeric else F.lit(None).cast("double")
-        shown = (F.format_string("%.6f", F.col(c)) if types[c] in ("double", "float")
-                 else F.col(c).cast("string"))
-        return F.when(F.col(c).isNotNull(), F.struct(
-            F.lit(c).alias("column"), num.alias("num"), F.col(c).cast("string").alias("raw"),
-            shown.alias("shown")))
-
-    stacked = (df.select(F.explode(F.filter(F.array(*[cell(c) for c in cols]),
-                                            lambda x: x.isNotNull())).alias("v"))
-                 .select("v.column", "v.num", "v.raw", "v.shown"))
-    distinct = stacked.groupBy("column", "raw").agg(F.first("num").alias("num"),
-                                                   F.first("shown").alias("shown"))
-    uniq = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("distinct"))
-    w = Window.partitionBy("column").orderBy(F.asc_nulls_last("num"), "raw")
-    samples = (distinct.withColumn("rk", F.row_number().over(w))
-               .filter(F.col("rk") <= sample_values)
-               .groupBy("column").agg(F.array_join(F.transform(
-                   F.array_sort(F.collect_list(F.struct("rk", "shown"))), lambda x: x["shown"]),
-                   ", ").alias("samples")))
+    row = df.agg(F.count(F.lit(1)).alias("__total"), *[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]).first()
+    total, nn = row["__total"], {c: row[f"n{i}"] for i, c in enumerate(cols)}
+
+    def values(c):
+        v = F.col("v")
+        real = types[c] in ("double", "float")
+        zero = F.when(v == 0, v.cast("string")) if real else F.lit(None).cast("string")
+        own = df.select(F.col(c).alias("v")).filter(v.isNotNull())
+        own = own.select("v", zero.alias("zero")).distinct() if real else own.distinct().withColumn("zero", zero)
+        raw = F.coalesce("zero", v.cast("string"))
+        shown = F.when(F.col("zero").startswith("-"), "-0.000000").otherwise(F.format_string("%.6f", v)) if real else raw
+        num = v.cast("double") if types[c] in numeric else F.lit(None).cast("double")
+        return own, own.select(F.lit(c).alias("column"), num.alias("num"), raw.alias("raw"), shown.alias("shown"))
+
+    counted = firsts = None
+    for c in cols:
+        own, shown = values(c)
+        n = own.agg(F.count(F.lit(1)).alias("distinct")).select(F.lit(c).alias("column"), "distinct")
+        first = shown.orderBy(F.asc_nulls_last("num"), "raw").limit(sample_values)
+        counted = n if counted is None else counted.unionByName(n)
+        firsts = first if firsts is None else firsts.unionByName(first)
+    uniq = counted
+    rank = F.struct(F.col("num").isNull().alias("a"), F.col("num").alias("b"), F.col("raw").alias("c"),
+                    F.col("shown").alias("shown"))
+    samples = firsts.groupBy("column").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(rank)), lambda x: x["shown"]), ", ").alias("samples"))
     meta = df.sparkSession.createDataFrame(
         [(c, types[c], int(nn[c]), round((total - nn[c]) * 100.0 / total, 2) if total else 0.0)
          for c in cols], "column string, dtype string, non_null bigint, null_pct double")
