@@ -81,6 +81,22 @@ def _batch(rows: list[tuple], names: list[str], schema: pa.Schema) -> pa.RecordB
         [pa.array(c, type=schema.field(n).type) for n, c in zip(names, columns, strict=True)], schema=schema)
 
 
+def labelled_ids(docs: DataFrame, labels: DataFrame, *, label: str, train: Column,
+                 id_col: str = "doc_id") -> DataFrame:
+    """(_id, _y): ids of ``docs`` that may be learned from, with their label (the larger of two)."""
+    known = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).where(train)
+             .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y")))
+    present = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
+    return known.join(present, "_id", "left_semi")
+
+
+def labelled_texts(docs: DataFrame, known: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(_id, _y, text) of the ids of ``known``, texts whole (null: empty); of
+    rows that share an id the smallest text counts."""
+    return (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+            .join(known, "_id").groupBy("_id", "_y").agg(F.min("_text").alias("text")))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, train: Column, per_class: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(rank, text, y): at most ``per_class`` labelled training texts of each
@@ -90,16 +106,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, *, label: str, train: Co
     the order of a hash of the id, so the sample does not depend on layout.
     Of rows that share an id the smallest text counts.
     """
-    known = (labels.where(F.col(label).isin(0, 1) & F.col(id_col).isNotNull()).where(train)
-             .groupBy(F.col(id_col).alias("_id")).agg(F.max(label).cast("int").alias("_y")))
-    present = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("_id")).distinct()
-    known = known.join(present, "_id", "left_semi")
+    known = labelled_ids(docs, labels, label=label, train=train, id_col=id_col)
     picked = None
     for y in (0, 1):
         one = known.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(per_class)
         picked = one if picked is None else picked.unionByName(one)
-    return (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-            .join(F.broadcast(picked), "_id").groupBy("_id", "_y").agg(F.min("_text").alias("text"))
+    return (labelled_texts(docs, F.broadcast(picked), id_col=id_col, text_col=text_col)
             .select(F.xxhash64("_id", "_y").alias("rank"), "text", F.col("_y").alias("y")))
 
 

@@ -279,6 +279,34 @@ def test_toxicity_without_labels_or_rows(spark):
     assert toxicity.score_documents(frame(spark, ROWS).limit(0), model).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_text_and_as_in_memory(spark):
+    calm = [(i, f"thon erly {'abcdefghij'[i % 10]}oued reat{i % 7} hear{'xyz'[i % 3]}", 0) for i in range(5200)]
+    bad = [(i, t + (" vequance" if i % 8 == 0 else ""), y) for i, t, y in toxic_rows(400, 6000)]
+    rows = calm + bad + [(i, bad[0][1], 1) for i in range(7000, 7020)] + [(7100, None, 0), (7100, "thon", 1)]
+    docs = frame(spark, [(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(9999, 1)], "doc_id long, toxic int")
+    got = toxicity.trained(docs, labels, train=F.lit(True))
+    kept = {i: (t or "", y) for i, t, y in rows[:-2]} | {7100: ("", 1)}
+    want = toxicity.fit(list(kept.values()))
+    assert sum(got.letters.singles.values()) == sum(want.letters.singles.values())  # no word is left out
+    assert (got.marks, got.names, got.letters) == (want.marks, want.names, want.letters) and got.marks
+
+
+def test_toxicity_searches_in_portions_and_covers_in_rounds_alike(spark, monkeypatch):
+    rows = toxic_rows(300)
+    docs = frame(spark, [(i, t) for i, t, _ in rows])
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "CANDIDATES", 40)
+    monkeypatch.setattr(toxicity, "BROADCAST_GROUPS", 0)
+    got = toxicity.trained(docs, labels, train=F.lit(True))
+    want = toxicity.fit([(t, y) for _, t, y in rows])
+    assert (got.marks, got.names) == (want.marks, want.names) and got.marks
+    left = [{"=a", "=bb", "=c"}, {"=a", "=bb"}, {"=c", "=d"}, {"=d"}, {"=e"}]
+    pairs = spark.createDataFrame([(i, f) for i, own in enumerate(left) for f in own], "tid long, f string")
+    monkeypatch.setattr(toxicity, "COVER_PAIRS", 1)
+    assert toxicity.cover(pairs) == list(toxicity.covering(left))
+
+
 def quality_rows(n, first=0):
     rows = []
     for i, t, _ in toxic_rows(n, first):
