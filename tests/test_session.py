@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from pushback.session import cut_lineage, ensure_checkpoint_dir
 
 
@@ -10,3 +12,18 @@ def test_cut_lineage_writes_under_checkpoint_dir(spark):
     assert files and all(base in f for f in files)
     plan = out.select("k").filter("k = 1")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan
+
+
+def test_a_wide_row_is_not_read_by_one_giant_method(spark, tmp_path):
+    """A method somewhat below HotSpot's limit is compiled late and badly."""
+    import contextlib
+    import io
+    import re
+    path = str(tmp_path / "wide")
+    spark.range(10).select(*[(F.col("id") + i).cast("double").alias(f"c{i}") for i in range(54)]).write.parquet(path)
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        spark.read.parquet(path).explain("codegen")
+    size = max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", said.getvalue()))
+    assert 2000 < size < 8000
+    assert size > int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
