@@ -66,6 +66,7 @@ RUN = re.compile(r"(.)\1\1")
 LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
 TWICE = re.compile(r"(.)\1")
 SAME = re.compile(r"(.)\1+", re.S)
+LEADING = re.compile(r"[^\W\d_]+")
 #: Changes of symbol at a word's end at which it may begin or stop.
 EDGE = 6
 #: Fewest letters of a word that may be split.
@@ -243,6 +244,17 @@ def readings(word: str, letters: Letters) -> list[str]:
 def spaced(words: list[str], window: int = WINDOW) -> Iterator[str]:
     """Windows of at most ``window`` letters of neighbouring short words, each
     joined; words of signs alone between them are passed over."""
+    n = len(words)
+    plain = np.fromiter(map(str.isalpha, words), bool, n) & (np.fromiter(map(len, words), np.int64, n) > PIECE)
+    at = np.flatnonzero(~plain)  # the others are too long for a piece
+    gaps = np.flatnonzero(np.diff(at, prepend=-2, append=n + 1) > 1)
+    first, last = at[gaps[:-1]], at[gaps[1:] - 1]
+    wide = last - first + 1 >= PIECES
+    for i, j in zip(first[wide].tolist(), last[wide].tolist()):
+        yield from _windows(words[i:j + 1], window)
+
+
+def _windows(words: list[str], window: int) -> Iterator[str]:
     run: list[str] = []
     for w in [*words, ""]:
         # else the word is too long for a piece
@@ -307,15 +319,26 @@ class Model:
         size = min((min(len(s), STEMS[0]) for s in single), default=0)
         return size, frozenset(s[:size] for s in single)
 
+    @cached_property
+    def firsts(self) -> frozenset[str]:
+        """First letters of marks."""
+        return frozenset(h[:1] for h in self.heads[1])
+
     def may_hold(self, word: str) -> bool:
-        """False if the word is of letters, with signs around them, and begins like no
-        mark: its readings differ from it in repeated letters alone."""
+        """False if the word begins with letters, or is of letters with signs around
+        them, and begins like no mark: its readings keep the letters that it begins
+        with, apart from repeated ones."""
         low = word.lower()
+        size, heads = self.heads
+        if size and low[:1] not in self.firsts and low[:1].isalpha():
+            return False
         if not low.isalpha():
+            start = LEADING.match(low)
+            if size and start and start[0].isalpha() and len(single := SAME.sub(r"\1", start[0])) >= size:
+                return single[:size] in heads
             low = bare(word)
             if not low.isalpha():
                 return True
-        size, heads = self.heads
         return (SAME.sub(r"\1", low) if TWICE.search(low) else low)[:size] in heads
 
     def mark(self, word: str) -> tuple[str, float] | None:

@@ -563,3 +563,26 @@ def test_long_words_take_linear_time():
         start = time.perf_counter()
         model.scores([word])
         assert time.perf_counter() - start < 10
+
+
+def test_words_that_begin_like_no_mark_are_not_read(monkeypatch):
+    letters = toxicity.fit_letters(["moron", "morning", "reeath", "dumb"] * 3)
+    model = toxicity.Model({"=moron": 0.9, "^dumb": 0.8}, letters)
+    obscure = ["moron!!", "m0r0n", "Morrron$", "m.o.r.o.n", "dummmber$$$", "($)moron"]
+    found = [model.mark(w) for w in obscure]
+    read = []
+    plain = toxicity.readings
+    monkeypatch.setattr(toxicity, "readings", lambda w, known: read.append(w) or plain(w, known))
+    for w in ["Reeath$$$", "STTI!!", "morning$", "BY-NC", "achie,", "erhöht!!"]:
+        assert model.mark(w) is None
+    assert read == []  # none is read
+    assert [model.mark(w) for w in obscure] == found and all(found[:5])
+
+
+def test_windows_of_spaced_words_among_plain_ones():
+    words = "a plain m o r o n x1 word . b c . d e".split()
+    every = list(toxicity.spaced(words))
+    assert "moron" in every and "bcde" in every and not any("plain" in w or "word" in w for w in every)
+    assert every == [w for part in (["m", "o", "r", "o", "n", "x1"], [".", "b", "c", ".", "d", "e"])
+                     for w in toxicity._windows(part, toxicity.WINDOW)]
+    assert list(toxicity.spaced([])) == [] == list(toxicity.spaced(["a", "b"]))
