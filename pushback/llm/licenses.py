@@ -150,20 +150,21 @@ def line_matches(lines: DataFrame, notices: DataFrame) -> DataFrame:
 
     ``lines``: line, n (files that hold it); ``notices``: template, license, line.
     """
-    own = lines.select("line", "n", F.explode(terms_of(F.col("line"))).alias("term"))
+    own = (lines.select("line", "n", F.explode(terms_of(F.col("line"))).alias("term"))
+           .groupBy("line", "term").agg(F.count(F.lit(1)).alias("tf"), F.max("n").alias("n")))
     theirs = notices.select("template", "license", F.explode(terms_of(F.col("line"))).alias("term"))
-    df = (own.groupBy("line", "term").agg(F.max("n").alias("n")).select("term", "n")
+    df = (own.select("term", "n")
           .unionByName(theirs.groupBy("template", "term").agg(F.lit(1).cast("bigint").alias("n")).select("term", "n"))
           .groupBy("term").agg(F.sum("n").alias("df")))
     n_all = (lines.agg(F.sum("n")).first()[0] or 0) + notices.count()  # one number
     idf = df.select("term", (F.log((F.lit(float(n_all)) + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-
-    def weights(rows: DataFrame, keys: list[str]) -> DataFrame:
-        tf = rows.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("tf"))
-        return tf.join(idf, "term").select(*keys, "term", (F.col("tf") * F.col("idf")).alias("w"))
-
-    a = weights(own, ["line"])
-    b = weights(theirs, ["template", "license"])
+    # the weights of lines and templates, written once: norms and products read them again
+    both = own.drop("n").unionByName(theirs.groupBy("template", "license", "term").agg(F.count(F.lit(1)).alias("tf")),
+                                     allowMissingColumns=True)
+    weights = cut_lineage(both.join(idf, "term").withColumn("w", F.col("tf") * F.col("idf")).drop("tf", "idf"),
+                          "licence_weights")
+    a = weights.where(F.col("line").isNotNull()).select("line", "term", "w")
+    b = weights.where(F.col("line").isNull()).select("template", "license", "term", "w")
     norm_a = a.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("na"))
     norm_b = b.groupBy("template", "license").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("nb"))
     dot = (a.join(b.withColumnRenamed("w", "wb"), "term").groupBy("line", "template", "license")
@@ -200,7 +201,7 @@ def scan(files: DataFrame, *, id_col: str, path_col: str = "path", text_col: str
     held = base.where(F.size("hits") > 0).select(
         F.xxhash64("_id", "path").alias("_f"), "_id", "path", "n_lines",
         F.explode(F.transform("hits", lambda x: F.trim(x))).alias("line"))
-    distinct = held.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+    distinct = cut_lineage(held.groupBy("line").agg(F.count(F.lit(1)).alias("n")), "licence_distinct")
     best = line_matches(distinct, templates(spark))
     own = (held.join(best, "line").groupBy("_id", "path", "n_lines").agg(
         F.max(F.struct("similarity", "license")).alias("m"),
@@ -210,13 +211,14 @@ def scan(files: DataFrame, *, id_col: str, path_col: str = "path", text_col: str
                 (F.col("n_licence_lines") * 2 > F.col("n_lines")).alias("mostly")))
     blocks = block_matches(base.where(F.col("block_text").isNotNull()).select(
         "_id", "path", F.col("block_text").alias("text")), vectors, least)
-    # a block's licence goes before a line's
-    own = (own.withColumn("of_block", F.lit(0)).unionByName(blocks.select(
+    # a block's licence goes before a line's; written, for directories and files read it again,
+    # and each reading would plan and compile all of the above anew in the driver
+    own = cut_lineage(own.withColumn("of_block", F.lit(0)).unionByName(blocks.select(
         F.col("_id").alias("_oid"), F.col("path").alias("_opath"), "similarity", F.col("license").alias("own_license"),
         F.col("whole").alias("mostly"), F.lit(1).alias("of_block")))
         .groupBy("_oid", "_opath").agg(F.max(F.struct("of_block", "similarity", "own_license")).alias("m"),
                                        F.max("mostly").alias("mostly"))
-        .select("_oid", "_opath", "m.similarity", "m.own_license", "mostly"))
+        .select("_oid", "_opath", "m.similarity", "m.own_license", "mostly"), "licence_own")
     directory = F.regexp_replace("path", "/?[^/]*$", "")
     name = F.regexp_extract("path", "[^/]*$", 0)
     seen = own.select("_oid", F.col("_opath").alias("path"), "own_license", "mostly")

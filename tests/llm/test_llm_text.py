@@ -358,6 +358,12 @@ def test_licences_own_and_inherited(spark):
     assert licenses.scan(files.limit(0), id_col="doc_id").count() == 0
 
 
+def test_licence_scan_plans_its_steps_once(spark):
+    files = spark.createDataFrame([(i, p, t) for i, (p, t) in enumerate(FILES)], "doc_id long, path string, text string")
+    plan = licenses.scan(files, id_col="doc_id")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("\n") < 60  # 301 when every use of the own licences held the whole scan anew
+
+
 def test_whole_licence_texts_and_headers(spark):
     texts = dict(reversed(block_texts()))  # the first of each name
     longest = dict(sorted(block_texts(), key=lambda x: len(x[1])))
