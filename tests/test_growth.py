@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from pushback.operators import explore, quality, sampling
+from pushback.operators import explore, features, quality, sampling
 from pushback.operators.joins import keyed_stats
+from pushback.sources import fixture
+
+SF = "/root/testdata/sf0.001"
 
 
 def test_profile_groups_each_column_by_itself(spark):
@@ -46,3 +49,20 @@ def test_key_statistics_add_up_equal_rows_first(spark):
     got = {(r["__key"], r["__value"]): (r["n"], r["y"]) for r in stats.collect()}
     assert got == {("p", "a"): (3, 2.0), ("q", "1"): (3, 2.0)}
     assert small == {"p": True, "q": True}
+
+
+def test_flights_are_dealt_out_whatever_the_row_groups(spark):
+    out = fixture.flights(spark, SF)
+    assert "RebalancePartitions" in out._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rate_joins_move_each_row_as_one_struct(spark):
+    train = spark.createDataFrame([("a", "AA", 1.0, "on_time"), ("b", "AA", 2.0, "major_delay"), ("c", None, 3.0, None)],
+                                  "row_id string, AIRLINE string, other double, DELAY_CATEGORY string")
+    tr, te = features.add_smoothed_rates(train, train.drop("DELAY_CATEGORY"), {"AIRLINE": "airline"}, drop=["AIRLINE"])
+    assert tr.columns[:3] == ["row_id", "other", "DELAY_CATEGORY"] and "AIRLINE" not in te.columns
+    got = {r["row_id"]: r for r in tr.collect()}
+    assert (got["a"]["other"], got["c"]["other"]) == (1.0, 3.0)
+    prior = got["c"]["airline_historical_on_time_rate"]  # no key: the share of all labelled rows
+    assert prior == 0.5 and got["a"]["airline_historical_on_time_rate"] < prior < got["b"]["airline_historical_on_time_rate"]
+    assert "__row#" in tr._jdf.queryExecution().optimizedPlan().toString()
