@@ -79,11 +79,3 @@ def keyed_stats(df: DataFrame, keys: list[str], count: str, sums: Sequence[str]
                         "key_stats")
     sizes = {r["__key"]: r["n"] for r in stats.groupBy("__key").agg(F.count(F.lit(1)).alias("n")).collect()}
     return stats, {k: may_broadcast(stats, sizes.get(k, 0), max_rows) for k in keys}
-
-
-def attach_key_slice(df: DataFrame, stats: DataFrame, key: str, small: bool) -> DataFrame:
-    """Left-join the slice of ``keyed_stats`` output for one key (NULL key -> no match)."""
-    part = (stats.filter(F.col("__key") == key).drop("__key")
-                 .withColumnRenamed("__value", "__kv"))
-    part = F.broadcast(part) if small else part
-    return df.join(part, df[key].cast("string") == part["__kv"], "left").drop("__kv")

@@ -30,6 +30,10 @@ def _materialised(spark: SparkSession, sf: str, name: str, build):
     return _MATERIALISED[key]
 
 
+def _has(spark: SparkSession, sf: str, name: str) -> bool:
+    return (spark.sparkContext.applicationId, sf, name) in _MATERIALISED
+
+
 def forget_stages() -> None:
     """Build stage tables anew, as after a change of the input."""
     _MATERIALISED.clear()
@@ -409,17 +413,21 @@ from pushback.plans.models import TrainingConfig, feature_columns  # noqa: E402
 MODEL_CONFIG = TrainingConfig()
 
 
+def _built(spark: SparkSession, sf: str):
+    train, test = _split(spark, sf)
+    return FE.build_feature_matrices(train, test)
+
+
 def _matrices(spark: SparkSession, sf: str):
-    def build():
-        train, test = _split(spark, sf)
-        tr, te = FE.build_feature_matrices(train, test)
-        return cut_lineage(tr, "train_matrix"), cut_lineage(te, "test_matrix")
-    return _materialised(spark, sf, "matrices", build)
+    """Both matrices, written once: every fit reads them many times."""
+    return _materialised(spark, sf, "matrices", lambda: tuple(
+        cut_lineage(df, name) for df, name in zip(_built(spark, sf), ("train_matrix", "test_matrix"))))
 
 
 def feature_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    """H5: train and test feature matrices (label and row_id kept), one frame."""
-    tr, te = _matrices(spark, sf)
+    """H5: train and test feature matrices (label and row_id kept), one frame. They are
+    not written for this query, which reads them once; those written for fits are used."""
+    tr, te = _matrices(spark, sf) if _has(spark, sf, "matrices") else _built(spark, sf)
     return tr.withColumn("is_test", F.lit(False)).unionByName(te.withColumn("is_test", F.lit(True)))
 
 

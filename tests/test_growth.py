@@ -66,3 +66,46 @@ def test_rate_joins_move_each_row_as_one_struct(spark):
     prior = got["c"]["airline_historical_on_time_rate"]  # no key: the share of all labelled rows
     assert prior == 0.5 and got["a"]["airline_historical_on_time_rate"] < prior < got["b"]["airline_historical_on_time_rate"]
     assert "__row#" in tr._jdf.queryExecution().optimizedPlan().toString()
+
+
+def _keyed(spark):
+    schema = "row_id string, AIRLINE string, ORIGIN_AIRPORT string, other double, DELAY_CATEGORY string"
+    rows = [("a", "AA", "X", 1.0, "on_time"), ("b", "AA", "Y", None, "major_delay"), ("c", None, "X", 3.0, "cancelled"),
+            ("d", "UA", None, 4.0, None), ("e", "UA", "X", 5.0, "no class"), ("f", "UA", "X", 5.0, "minor_delay")]
+    test = [("t", "AA", None, 1.0, "on_time"), ("u", "ZZ", "X", 2.0, None)]
+    return spark.createDataFrame(rows, schema), spark.createDataFrame(test, schema)
+
+
+def test_statistics_of_small_keys_take_no_join(spark):
+    train, test = _keyed(spark)
+    for df in (*features.add_smoothed_rates(train, test, {"AIRLINE": "airline", "ORIGIN_AIRPORT": "origin"}),
+               *features.add_frequency_encoding(train, test, ["AIRLINE", "ORIGIN_AIRPORT"])):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "MapInArrow" in plan
+
+
+def test_looked_up_and_joined_statistics_agree(spark, monkeypatch):
+    train, test = _keyed(spark)
+    keys = {"AIRLINE": "airline", "ORIGIN_AIRPORT": "origin"}
+
+    def both():
+        frames = (*features.add_smoothed_rates(train, test, keys), *features.add_frequency_encoding(train, test, list(keys)))
+        return [(df.columns, sorted(tuple(map(str, r)) for r in df.collect())) for df in frames]
+
+    looked_up = both()
+    monkeypatch.setattr(features, "_held", lambda *_, **__: {})
+    assert both() == looked_up
+    rates = {r["row_id"]: r for r in features.add_smoothed_rates(train, test, keys)[0].collect()}
+    prior = rates["c"]["airline_historical_on_time_rate"]
+    assert prior == rates["d"]["airline_historical_on_time_rate"] == rates["e"]["airline_historical_on_time_rate"] == 0.2
+    assert rates["f"]["airline_historical_on_time_rate"] == (0.0 + 25 * prior) / (3 - 1 + 25)
+
+
+def test_feature_matrix_works_features_out_once_and_writes_none(spark):
+    from pushback.plans import catalog
+
+    catalog.forget_stages()
+    out = catalog.feature_matrix(spark, SF)
+    assert not [f for f in out.inputFiles() if "_features-" in f or "_matrix-" in f]
+    assert out.count() == catalog.cleaned(spark, SF).count()
+    catalog.forget_stages()
